@@ -124,7 +124,7 @@ def src5(s: TableStore) -> DataFrame:
 @query(
     "snk1_zstd_parquet_by_fiscal_year",
     """
-    SELECT year(action_date) + if(month(action_date) >= 10, 1, 0) AS fiscal_year, count(*) AS n
+    SELECT CAST(year(action_date) + if(month(action_date) >= 10, 1, 0) AS INTEGER) AS fiscal_year, count(*) AS n
     FROM transactions GROUP BY 1
     """,
 )
@@ -153,7 +153,7 @@ def snk3(s: TableStore) -> DataFrame:
 @query(
     "snk4_reload_partitions",
     """
-    SELECT year(action_date) + if(month(action_date) >= 10, 1, 0) AS fiscal_year,
+    SELECT CAST(year(action_date) + if(month(action_date) >= 10, 1, 0) AS INTEGER) AS fiscal_year,
            count(*) FILTER (federal_action_obligation >= 0
                             OR year(action_date) + if(month(action_date) >= 10, 1, 0) < 2025) AS n
     FROM transactions GROUP BY 1
@@ -332,7 +332,7 @@ def prj4(s: TableStore) -> DataFrame:
 
 @query(
     "prj5_surrogate_key",
-    "SELECT count(*) AS n, 1 AS first_id, count(*) AS last_id, count(*) AS n_ids FROM tracker",
+    "SELECT count(*) AS n, 1::BIGINT AS first_id, count(*) AS last_id, count(*) AS n_ids FROM tracker",
 )
 def prj5(s: TableStore) -> DataFrame:
     """Ids run from 1 to n without gaps, also over exact copies."""
@@ -700,9 +700,7 @@ def jn4(s: TableStore) -> DataFrame:
     "SELECT transaction_unique_key, recipient_uei FROM academic_tx WHERE action_type_description = 'NEW'",
 )
 def jn6(s: TableStore) -> DataFrame:
-    academic_keys = joins.key_set(
-        dashboard.academic_recipients(s.table("recipients"), CFG), "recipient_uei"
-    )
+    academic_keys = dashboard.academic_ueis(s.table("recipients"), CFG)
     return (
         s.table("transactions")
         .filter(F.col("action_type_description") == "NEW")

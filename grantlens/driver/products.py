@@ -285,7 +285,10 @@ PRE_POST_SQL = f"""
 
 @query("d2_pre_post_by_directorate", PRE_POST_SQL + "SELECT * FROM pre_post")
 def d2(s: TableStore) -> DataFrame:
-    return _pre_post(s)
+    terminations, awards, recipients = _scope(s)
+    return dashboard.pre_post_by_directorate(
+        s.table("transactions"), awards, terminations, recipients, CFG
+    )
 
 
 TIMELINE_SQL = f"""
@@ -313,7 +316,7 @@ TIMELINE_SQL = f"""
 
 @query("d3_phase_timeline", TIMELINE_SQL + "SELECT * FROM timeline")
 def d3(s: TableStore) -> DataFrame:
-    return _timeline(s)
+    return dashboard.phase_timeline(s.table("transactions"), *_scope(s), CFG)
 
 
 @query(
@@ -337,9 +340,9 @@ def d5(s: TableStore) -> DataFrame:
 @query(
     "d6_reinstatement_boxplot",
     """
-    SELECT p.position, h.topic, h.n, round_even(min(v.days), 1) AS low,
+    SELECT p.position, h.topic, h.n, round_even(min(v.days)::DOUBLE, 1) AS low,
            round_even(h.q1, 1) AS q1, round_even(h.median, 1) AS median,
-           round_even(h.q3, 1) AS q3, round_even(max(v.days), 1) AS high
+           round_even(h.q3, 1) AS q3, round_even(max(v.days)::DOUBLE, 1) AS high
     FROM recovery_hinges AS h JOIN topic_positions AS p USING (topic)
     JOIN recovery AS v ON v.topic = h.topic
       AND v.days BETWEEN h.q1 - 1.5 * (h.q3 - h.q1) AND h.q3 + 1.5 * (h.q3 - h.q1)
@@ -546,9 +549,11 @@ def d14(s: TableStore) -> DataFrame:
 )
 def d15(s: TableStore) -> DataFrame:
     halves = dashboard.half_year_change(
-        _timeline(s), s.table("transactions"), s.table("recipients"), CFG
+        s.table("timeline"), s.table("transactions"), s.table("recipients"), CFG
+    )
+    return dashboard.headline_kpis(
+        s.table("termination_totals"), halves, s.table("pre_post"), CFG
     )
-    return dashboard.headline_kpis(d1(s), halves, _pre_post(s), CFG)
 
 
 @query(
@@ -682,17 +687,3 @@ def x6(s: TableStore) -> DataFrame:
 
 def _scope(s: TableStore) -> tuple[DataFrame, DataFrame, DataFrame]:
     return s.table("terminations"), s.table("awards"), s.table("recipients")
-
-
-def _timeline(s: TableStore) -> DataFrame:
-    return dashboard.phase_timeline(s.table("transactions"), *_scope(s), CFG)
-
-
-def _pre_post(s: TableStore) -> DataFrame:
-    return dashboard.pre_post_by_directorate(
-        s.table("transactions"),
-        s.table("awards"),
-        s.table("terminations"),
-        s.table("recipients"),
-        CFG,
-    )

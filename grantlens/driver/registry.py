@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from grantlens.config import DEFAULT_CONFIG
 from grantlens.driver import adapter
 from grantlens.driver.oracle import with_tables
-from grantlens.plans import bronze, changes, institutions, silver
+from grantlens.plans import bronze, changes, dashboard, institutions, silver
 from grantlens.sources.store import TableSpec, TableStore, shared_folder
 
 QueryFn = Callable[[TableStore], DataFrame]
@@ -39,7 +39,12 @@ def _specs(sf_dir: str) -> dict[str, TableSpec]:
         "raw_usaspending": table(lambda s: adapter.usaspending(s.spark, sf_dir), stored=False),
         "raw_grants": table(lambda s: adapter.grants(s.spark, sf_dir), stored=False),
         "raw_tracker": table(lambda s: adapter.terminations(s.spark, sf_dir), stored=False),
-        "usaspending": table(lambda s: bronze.usaspending(s.table("raw_usaspending"), CFG)),
+        "usaspending": table(
+            lambda s: silver.with_fiscal_year(
+                bronze.usaspending(s.table("raw_usaspending"), CFG)
+            ),
+            partition_by="fiscal_year",
+        ),
         "grants": table(lambda s: bronze.grants(s.table("raw_grants"))),
         "tracker": table(lambda s: bronze.terminations(s.table("raw_tracker"))),
         "recipients": table(lambda s: silver.recipients(s.table("usaspending"))),
@@ -70,6 +75,29 @@ def _specs(sf_dir: str) -> dict[str, TableSpec]:
                 s.table("recipients"), s.table("awards"), s.table("terminations"), CFG
             )
         ),
+        "termination_totals": table(
+            lambda s: dashboard.termination_totals(
+                s.table("terminations"), s.table("awards"), s.table("recipients"), CFG
+            )
+        ),
+        "pre_post": table(
+            lambda s: dashboard.pre_post_by_directorate(
+                s.table("transactions"),
+                s.table("awards"),
+                s.table("terminations"),
+                s.table("recipients"),
+                CFG,
+            )
+        ),
+        "timeline": table(
+            lambda s: dashboard.phase_timeline(
+                s.table("transactions"),
+                s.table("terminations"),
+                s.table("awards"),
+                s.table("recipients"),
+                CFG,
+            )
+        ),
         "portfolio": table(
             lambda s: institutions.institution_portfolio(
                 s.table("recipients"), s.table("awards"), s.table("terminations"), CFG

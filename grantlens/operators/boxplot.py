@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -30,42 +30,30 @@ def box_stats(df: DataFrame, group: str, value: str, min_group: int, factor: flo
         .withColumn("_depth", F.floor((F.col("_total") + 3) / 2) / 2)
     )
 
-    def at_rank(rank):
-        def pick(r):
-            return F.max(F.when(r.between(F.col("_first"), F.col("_last")), F.col(value)))
+    def at_rank(rank: Column) -> Column:
+        def pick(r: Column) -> Column:
+            hit = r.between(F.col("_first"), F.col("_last"))
+            return F.max(F.when(hit, F.col(value))).over(whole)
 
         return (pick(F.floor(rank)) + pick(F.ceil(rank))) / 2
 
-    hinges = ranked.groupBy(group).agg(
-        F.max("_total").alias("n"),
-        at_rank(F.col("_depth")).alias("q1"),
-        at_rank((F.col("_total") + 1) / 2).alias("median"),
-        at_rank(F.col("_total") + 1 - F.col("_depth")).alias("q3"),
+    # Same partitioning throughout: the values are shuffled once.
+    total, depth = F.col("_total"), F.col("_depth")
+    hinged = ranked.select(
+        group,
+        value,
+        total.alias("n"),
+        at_rank(depth).alias("q1"),
+        at_rank((total + 1) / 2).alias("median"),
+        at_rank(total + 1 - depth).alias("q3"),
     )
-    spread = F.col("q3") - F.col("q1")
-    fences = hinges.withColumns(
-        {"_low": F.col("q1") - factor * spread, "_high": F.col("q3") + factor * spread}
+    reach = factor * (F.col("q3") - F.col("q1"))
+    fenced = hinged.withColumns(
+        {"low_fence": F.col("q1") - reach, "high_fence": F.col("q3") + reach}
     )
-    inside = F.col(value).between(F.col("_low"), F.col("_high"))
-    return (
-        ranked.select(group, value)
-        .join(fences, group)
-        .groupBy(group, "n", "q1", "median", "q3", "_low", "_high")
-        .agg(
-            F.min(F.when(inside, F.col(value))).cast("double").alias("low"),
-            F.max(F.when(inside, F.col(value))).cast("double").alias("high"),
-        )
-        .select(
-            group,
-            "n",
-            "low",
-            "q1",
-            "median",
-            "q3",
-            "high",
-            F.col("_low").alias("low_fence"),
-            F.col("_high").alias("high_fence"),
-        )
+    inside = F.when(F.col(value).between(F.col("low_fence"), F.col("high_fence")), F.col(value))
+    return fenced.groupBy(group, "n", "q1", "median", "q3", "low_fence", "high_fence").agg(
+        F.min(inside).cast("double").alias("low"), F.max(inside).cast("double").alias("high")
     )
 
 

@@ -6,26 +6,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def keep_known(df: DataFrame, key: str, known: DataFrame, known_key: str | None = None) -> DataFrame:
-    """Rows whose key occurs in `known` (foreign-key filter). NULL keys drop."""
-    return df.join(key_set(known, known_key or key, key), key, "left_semi")
+def key_set(
+    df: DataFrame, key: str, alias: str | None = None, unique: bool = False
+) -> DataFrame:
+    """Non-NULL values of a key, once each.
 
+    Repeated values are reduced ahead of the shuffle. unique=True states that
+    the key is one of the table's own keys, which saves that step.
+    """
+    keys = df.filter(F.col(key).isNotNull()).select(F.col(key).alias(alias or key))
+    return keys if unique else keys.distinct()
 
-def keep_unknown(
-    df: DataFrame, key: str, known: DataFrame, known_key: str | None = None
-) -> DataFrame:
-    """Rows that keep_known drops, those with a NULL key included."""
-    return df.join(key_set(known, known_key or key, key), key, "left_anti")
+
+def keep_known(df: DataFrame, key: str, known: DataFrame, unique: bool = False) -> DataFrame:
+    """Rows whose key occurs in `known` (foreign-key filter). NULL keys drop."""
+    return df.join(key_set(known, key, unique=unique), key, "left_semi")
 
 
-def key_set(df: DataFrame, key: str, alias: str | None = None) -> DataFrame:
-    """Distinct non-NULL values, reduced ahead of the shuffle."""
-    return df.filter(F.col(key).isNotNull()).select(F.col(key).alias(alias or key)).distinct()
+def keep_unknown(df: DataFrame, key: str, known: DataFrame, unique: bool = False) -> DataFrame:
+    """Rows that keep_known drops, those with a NULL key included."""
+    return df.join(key_set(known, key, unique=unique), key, "left_anti")
 
 
-def null_unmatched(df: DataFrame, key: str, known: DataFrame) -> DataFrame:
+def null_unmatched(df: DataFrame, key: str, known: DataFrame, unique: bool = False) -> DataFrame:
     """Keep every row, but set keys that do not occur in `known` to NULL."""
-    keys = key_set(known, key, "_known")
+    keys = key_set(known, key, "_known", unique)
     joined = df.join(keys, F.col(key) == F.col("_known"), "left")
     return joined.withColumn(key, F.col("_known")).drop("_known")
 

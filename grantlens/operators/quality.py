@@ -49,9 +49,9 @@ def missing_keys(df: DataFrame, key: str) -> DataFrame:
     return df.filter(F.col(key).isNull())
 
 
-def orphans(df: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:
+def orphans(df: DataFrame, key: str, parent: DataFrame, unique: bool = False) -> DataFrame:
     """Rows whose non-NULL key has no parent."""
-    return keep_unknown(df.filter(F.col(key).isNotNull()), key, parent, parent_key)
+    return keep_unknown(df.filter(F.col(key).isNotNull()), key, parent, unique)
 
 
 def constraint_report(checks: dict[str, DataFrame]) -> DataFrame:

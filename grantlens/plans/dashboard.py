@@ -39,12 +39,15 @@ def academic_recipients(recipients: DataFrame, cfg: StudyConfig = DEFAULT_CONFIG
     return recipients.filter(is_academic(F.col("recipient_name"), cfg.academic_keywords))
 
 
+def academic_ueis(recipients: DataFrame, cfg: StudyConfig = DEFAULT_CONFIG) -> DataFrame:
+    return key_set(academic_recipients(recipients, cfg), "recipient_uei", unique=True)
+
+
 def academic_fains(
     awards: DataFrame, recipients: DataFrame, cfg: StudyConfig = DEFAULT_CONFIG
 ) -> DataFrame:
     """FAINs of awards to academic recipients."""
-    academic = key_set(academic_recipients(recipients, cfg), "recipient_uei")
-    return awards.join(academic, "recipient_uei", "left_semi").select("award_id_fain")
+    return awards.join(academic_ueis(recipients, cfg), "recipient_uei", "left_semi").select("award_id_fain")
 
 
 def per_academic_fain(
@@ -65,8 +68,7 @@ def per_academic_fain(
         .agg(*measures)
     )
     owned = partial.join(awards.select("award_id_fain", "recipient_uei"), "award_id_fain")
-    academic = key_set(academic_recipients(recipients, cfg), "recipient_uei")
-    return owned.join(academic, "recipient_uei", "left_semi")
+    return owned.join(academic_ueis(recipients, cfg), "recipient_uei", "left_semi")
 
 
 def academic_transactions(
@@ -80,8 +82,7 @@ def academic_transactions(
     partial = transactions.groupBy(
         "recipient_uei", *[c.alias(n) for n, c in keys.items()]
     ).agg(*measures)
-    academic = key_set(academic_recipients(recipients, cfg), "recipient_uei")
-    return partial.join(academic, "recipient_uei", "left_semi")
+    return partial.join(academic_ueis(recipients, cfg), "recipient_uei", "left_semi")
 
 
 def termination_totals(
@@ -157,7 +158,7 @@ def pre_post_by_directorate(
         )
     )
 
-    academic = key_set(academic_recipients(recipients, cfg), "recipient_uei")
+    academic = academic_ueis(recipients, cfg)
     exposed = (
         awards_at_risk(awards, cfg)
         .select("recipient_uei", "award_id_fain", F.col("awarding_sub_agency_name").alias("dir"))
@@ -272,8 +273,7 @@ def reinstatement_days(
         topic_of(F.col("project_title")).alias("topic"),
     )
     owned = back.join(awards.select("award_id_fain", "recipient_uei"), "award_id_fain")
-    academic = key_set(academic_recipients(recipients, cfg), "recipient_uei")
-    return owned.join(academic, "recipient_uei", "left_semi").select("days", "topic")
+    return owned.join(academic_ueis(recipients, cfg), "recipient_uei", "left_semi").select("days", "topic")
 
 
 def reinstatement_boxplot(

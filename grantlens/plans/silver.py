@@ -170,7 +170,7 @@ def awards(
         award_rollup(usaspending, cfg), ["award_id_fain"], [F.col("award_unique_key").asc()]
     )
     if recipients is not None:
-        unique = keep_known(unique, "recipient_uei", recipients).select(*unique.columns)
+        unique = keep_known(unique, "recipient_uei", recipients, unique=True).select(*unique.columns)
     return unique.withColumn("pulled_at", F.lit(cfg.run_ts))
 
 
@@ -198,7 +198,7 @@ def transactions(
     Of several rows with one key the earliest is kept, ties by the other columns.
     """
     rows = transaction_rows(usaspending)
-    known = keep_known(rows, "award_unique_key", awards).select(*rows.columns)
+    known = keep_known(rows, "award_unique_key", awards, unique=True).select(*rows.columns)
     order = whole_row_order(known, ["action_date"])
     return keep_one(known, ["transaction_unique_key"], order).withColumn(
         "pulled_at", F.lit(cfg.run_ts)
@@ -227,9 +227,9 @@ def termination_rows(tracker: DataFrame) -> DataFrame:
 def terminations(tracker: DataFrame, awards: DataFrame) -> DataFrame:
     """One row per tracker row. FAINs of unknown awards become NULL."""
     keyed = with_surrogate_key(termination_rows(tracker), "termination_id")
-    return null_unmatched(keyed, "award_id_fain", awards).select(*keyed.columns)
+    return null_unmatched(keyed, "award_id_fain", awards, unique=True).select(*keyed.columns)
 
 
-def with_fiscal_year(transactions: DataFrame) -> DataFrame:
-    """Storage layout of transactions: partitioned by fiscal year."""
-    return transactions.withColumn("fiscal_year", flags.fiscal_year(F.col("action_date")))
+def with_fiscal_year(rows: DataFrame) -> DataFrame:
+    """Storage layout of transaction-level tables: partitioned by fiscal year."""
+    return rows.withColumn("fiscal_year", flags.fiscal_year(F.col("action_date")))
