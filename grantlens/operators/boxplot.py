@@ -23,8 +23,8 @@ def box_stats(df: DataFrame, group: str, value: str, min_group: int, factor: flo
     whole = W.partitionBy(group)
     running = whole.orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = (
-        counts.withColumn("_total", F.sum("_n").over(whole))
-        .withColumn("_last", F.sum("_n").over(running))
+        counts.withColumn("_last", F.sum("_n").over(running))
+        .withColumn("_total", F.sum("_n").over(whole))
         .withColumn("_first", F.col("_last") - F.col("_n") + 1)
         .filter(F.col("_total") >= min_group)
         .withColumn("_depth", F.floor((F.col("_total") + 3) / 2) / 2)
