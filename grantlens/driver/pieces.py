@@ -776,17 +776,21 @@ def jn14(s: TableStore) -> DataFrame:
 @query(
     "jn15_drop_orphan_transactions",
     """
-    SELECT award_unique_key, count(*) AS n FROM transaction_rows
-    WHERE award_unique_key NOT IN (SELECT award_unique_key FROM awards) GROUP BY 1
+    SELECT x.transaction_unique_key, x.award_unique_key, a.award_unique_key IS NOT NULL AS kept
+    FROM transaction_rows AS x LEFT JOIN awards AS a USING (award_unique_key)
     """,
 )
 def jn15(s: TableStore) -> DataFrame:
-    per_award = (
-        silver.transaction_rows(s.table("usaspending"))
-        .groupBy("award_unique_key")
-        .agg(F.count("*").alias("n"))
+    """The plain form, against all awards; p7_transactions uses the orphan keys."""
+    rows = silver.transaction_rows(s.table("usaspending")).select(
+        "transaction_unique_key", "award_unique_key"
+    )
+    awards = s.table("awards")
+    kept = joins.keep_known(rows, "award_unique_key", awards, unique=True)
+    dropped = joins.keep_unknown(rows, "award_unique_key", awards, unique=True)
+    return kept.select(*rows.columns, F.lit(True).alias("kept")).unionByName(
+        dropped.select(*rows.columns, F.lit(False).alias("kept"))
     )
-    return quality.orphans(per_award, "award_unique_key", s.table("awards"))
 
 
 @query(

@@ -60,7 +60,11 @@ def p6(s: TableStore) -> DataFrame:
 
 @query("p7_transactions", "SELECT *, '2026-04-06 00:00:00' AS pulled_at FROM transactions")
 def p7(s: TableStore) -> DataFrame:
-    return _load_text(silver.transactions(s.table("usaspending"), s.table("awards"), CFG))
+    return _load_text(
+        silver.transactions(
+            s.table("usaspending"), cfg=CFG, orphan_keys=s.table("orphan_award_keys")
+        )
+    )
 
 
 @query("p8_terminations", "SELECT * EXCLUDE (termination_id) FROM terminations")

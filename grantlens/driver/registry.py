@@ -50,9 +50,14 @@ def _specs(sf_dir: str) -> dict[str, TableSpec]:
         "recipients": table(lambda s: silver.recipients(s.table("usaspending"))),
         "opportunities": table(lambda s: silver.opportunities(s.table("grants"), CFG)),
         "awards": table(lambda s: silver.awards(s.table("usaspending"), cfg=CFG)),
+        "orphan_award_keys": table(
+            lambda s: silver.orphan_award_keys(s.table("usaspending"), s.table("awards"))
+        ),
         "transactions": table(
             lambda s: silver.with_fiscal_year(
-                silver.transactions(s.table("usaspending"), s.table("awards"), CFG)
+                silver.transactions(
+                    s.table("usaspending"), cfg=CFG, orphan_keys=s.table("orphan_award_keys")
+                )
             ),
             partition_by="fiscal_year",
             sort_by=("action_date",),

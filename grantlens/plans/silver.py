@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from grantlens.config import DEFAULT_CONFIG, StudyConfig
 from grantlens.functions import flags
 from grantlens.functions.classify import DIRECTORATE_NAMES, TOPIC_ORDER, directorate_of
-from grantlens.operators.joins import keep_known, null_unmatched
+from grantlens.operators.joins import keep_known, keep_unknown, key_set, null_unmatched
 from grantlens.operators.rows import keep_one, whole_row_order, with_surrogate_key
 from grantlens.sources import schemas
 from grantlens.sources.literals import literal_table
@@ -190,19 +190,42 @@ def transaction_rows(usaspending: DataFrame) -> DataFrame:
     )
 
 
+def orphan_award_keys(usaspending: DataFrame, awards: DataFrame) -> DataFrame:
+    """Award keys that occur among the transactions but not among the awards."""
+    keys = key_set(transaction_rows(usaspending), "award_unique_key")
+    return keep_unknown(keys, "award_unique_key", awards, unique=True)
+
+
 def transactions(
-    usaspending: DataFrame, awards: DataFrame, cfg: StudyConfig = DEFAULT_CONFIG
+    usaspending: DataFrame,
+    awards: DataFrame | None = None,
+    cfg: StudyConfig = DEFAULT_CONFIG,
+    orphan_keys: DataFrame | None = None,
 ) -> DataFrame:
     """One row per transaction key, for known awards only.
 
     Of several rows with one key the earliest is kept, ties by the other columns.
+
+    Either `awards` or `orphan_keys` says which awards are known. Few keys are
+    orphans as a rule: once stored, their size is on record and Spark broadcasts
+    them, whereas a semi join with all awards shuffles every transaction row.
     """
     rows = transaction_rows(usaspending)
-    known = keep_known(rows, "award_unique_key", awards, unique=True).select(*rows.columns)
-    order = whole_row_order(known, ["action_date"])
-    return keep_one(known, ["transaction_unique_key"], order).withColumn(
-        "pulled_at", F.lit(cfg.run_ts)
-    )
+    if orphan_keys is not None:
+        known = keep_unknown(
+            rows.filter(F.col("award_unique_key").isNotNull()),
+            "award_unique_key",
+            orphan_keys,
+            unique=True,
+        )
+    elif awards is not None:
+        known = keep_known(rows, "award_unique_key", awards, unique=True)
+    else:
+        raise ValueError("give awards or orphan_keys")
+    known = known.select(*rows.columns)
+    return keep_one(
+        known, ["transaction_unique_key"], whole_row_order(known, ["action_date"])
+    ).withColumn("pulled_at", F.lit(cfg.run_ts))
 
 
 def termination_rows(tracker: DataFrame) -> DataFrame:

@@ -67,10 +67,14 @@ def test_transactions_are_unique_and_have_an_award(spark):
         tx("1", action_date=day("2025-02-01"), federal_action_obligation=1.0),
         tx("1", action_date=day("2025-01-01"), federal_action_obligation=2.0),
         tx("2", award="A9"),
+        tx("3", award=None),
         tx(None),
     )
-    got = silver.transactions(raw, awards(spark, {"award_unique_key": "A1"}))
-    assert records(got, "transaction_unique_key", "federal_action_obligation") == [("1", 2.0)]
+    known = awards(spark, {"award_unique_key": "A1"})
+    orphans = silver.orphan_award_keys(raw, known)
+    assert column(orphans, "award_unique_key") == ["A9"]
+    for got in [silver.transactions(raw, known), silver.transactions(raw, orphan_keys=orphans)]:
+        assert records(got, "transaction_unique_key", "federal_action_obligation") == [("1", 2.0)]
 
 
 def test_opportunities_prefer_the_synopsis(spark):
