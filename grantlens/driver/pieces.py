@@ -530,6 +530,30 @@ def cls3(s: TableStore) -> DataFrame:
     return counted.join(glossary, "directorate", "left").select("directorate", "directorate_name", "n")
 
 
+@query(
+    "cls3_awards_per_agency_row",
+    """
+    SELECT g.agency_code, g.agency_name, count(a.award_unique_key) AS n
+    FROM agencies AS g LEFT JOIN awards AS a
+      ON a.awarding_sub_agency_name = replace(replace(g.agency_code, 'NSF-', ''), 'CSE', 'CISE')
+    GROUP BY 1, 2
+    """,
+)
+def cls3_agencies(s: TableStore) -> DataFrame:
+    """Agency rows use other codes than awards do; both map to one vocabulary."""
+    counted = (
+        s.table("awards")
+        .groupBy(F.col("awarding_sub_agency_name").alias("code"))
+        .agg(F.count("*").alias("n"))
+    )
+    agencies = silver.agencies(s.spark).withColumn(
+        "code", classify.directorate_code(F.col("agency_code"))
+    )
+    return agencies.join(counted, "code", "left").select(
+        "agency_code", "agency_name", F.coalesce("n", F.lit(0)).alias("n")
+    )
+
+
 @query(
     "flg1_transaction_active",
     f"""

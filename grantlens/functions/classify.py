@@ -81,6 +81,18 @@ def directorate_of(cfda: Column) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), cfda), F.lit(OTHER_DIRECTORATE))
 
 
+def directorate_code(value: Column) -> Column:
+    """Directorate code of an agency code or a long name; other values stay.
+
+    Award rows hold codes (CISE), the agency table prefixed ones (NSF-CSE), and
+    the tracker may hold names.
+    """
+    names = [F.lit(x) for code, name in DIRECTORATE_NAMES for x in (name.upper(), code)]
+    bare = F.regexp_replace(value, "^NSF-", "")
+    known = F.try_element_at(F.create_map(*names), F.upper(F.trim(value)))
+    return F.coalesce(known, F.when(bare == "CSE", "CISE").otherwise(bare))
+
+
 def topic_of(title: Column) -> Column:
     """Topic of a project title: first matching rule wins."""
     lowered = F.lower(title)

@@ -30,7 +30,7 @@ def percent_rounded(part: Column, whole: Column, places: int) -> Column:
 
 
 def sum_or_zero(value: Column) -> Column:
-    return F.coalesce(F.sum(value), F.lit(0.0))
+    return F.coalesce(F.sum(value), F.lit(0))
 
 
 def count_where(condition: Column) -> Column:

@@ -69,9 +69,10 @@ def with_surrogate_key(
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     last = F.col("_offset") + F.sum("_size").over(in_bucket)
+    numbers = F.sequence(F.col("_last") - F.col("_size") + 1, F.col("_last"))
     return (
         chunks.join(F.broadcast(offsets), "_bucket")
         .withColumn("_last", last)
-        .withColumn(name, F.explode(F.sequence(F.col("_last") - F.col("_size") + 1, F.col("_last"))))
+        .withColumn(name, F.explode(numbers))
         .select(name, *columns)
     )

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from grantlens.config import DEFAULT_CONFIG, StudyConfig
 from grantlens.functions.numbers import row_count
 from grantlens.operators.rows import with_surrogate_key
+from grantlens.plans.silver import MONEY_TYPE, load_time
 
 ADDED, REMOVED, MODIFIED = "ADDED", "REMOVED", "MODIFIED"
 
@@ -29,7 +30,7 @@ TRACKED_FIELDS = [
 
 def _as_text(df: DataFrame, name: str) -> Column:
     if isinstance(df.schema[name].dataType, T.DoubleType):
-        return F.col(name).cast("decimal(18,2)").cast("string")
+        return F.col(name).cast(MONEY_TYPE).cast("string")
     return F.col(name).cast("string")
 
 
@@ -80,12 +81,12 @@ def diff_snapshots(
     return both.select("opportunity_id", F.inline(changes)).select(
         "opportunity_id",
         F.lit(snapshot_id).alias("snapshot_id"),
-        F.lit(cfg.run_ts).alias("snapshot_date"),
+        load_time(cfg).alias("snapshot_date"),
         "change_type",
         "field_changed",
         "old_value",
         "new_value",
-        F.lit(cfg.run_ts).alias("detected_at"),
+        load_time(cfg).alias("detected_at"),
     )
 
 
@@ -104,7 +105,7 @@ def snapshot_entry(
     """The register row of one pull."""
     return snapshot.agg(row_count().alias("record_count")).select(
         F.lit(snapshot_id).alias("snapshot_id"),
-        F.lit(cfg.run_ts).alias("snapshot_date"),
+        load_time(cfg).alias("snapshot_date"),
         F.lit(source).alias("source"),
         "record_count",
         F.lit(notes).cast("string").alias("notes"),

@@ -47,7 +47,10 @@ def academic_fains(
     awards: DataFrame, recipients: DataFrame, cfg: StudyConfig = DEFAULT_CONFIG
 ) -> DataFrame:
     """FAINs of awards to academic recipients."""
-    return awards.join(academic_ueis(recipients, cfg), "recipient_uei", "left_semi").select("award_id_fain")
+    held = awards.select("award_id_fain", "recipient_uei")
+    return held.join(academic_ueis(recipients, cfg), "recipient_uei", "left_semi").select(
+        "award_id_fain"
+    )
 
 
 def per_academic_fain(
@@ -273,7 +276,9 @@ def reinstatement_days(
         topic_of(F.col("project_title")).alias("topic"),
     )
     owned = back.join(awards.select("award_id_fain", "recipient_uei"), "award_id_fain")
-    return owned.join(academic_ueis(recipients, cfg), "recipient_uei", "left_semi").select("days", "topic")
+    return owned.join(academic_ueis(recipients, cfg), "recipient_uei", "left_semi").select(
+        "days", "topic"
+    )
 
 
 def reinstatement_boxplot(
@@ -375,7 +380,9 @@ def half_year_change(
             sum_where(flags.within(day, cfg.current_half), amount).alias("current"),
         ],
         cfg,
-    ).agg(money(sum_or_zero("prior")).alias("prior"), money(sum_or_zero("current")).alias("current"))
+    ).agg(
+        money(sum_or_zero("prior")).alias("prior"), money(sum_or_zero("current")).alias("current")
+    )
     stacked = series.withColumn("basis", F.lit("series")).unionByName(
         full.withColumn("basis", F.lit("full"))
     )

@@ -13,7 +13,14 @@ from pyspark.sql import functions as F
 
 from grantlens.config import DEFAULT_CONFIG, StudyConfig
 from grantlens.functions import flags
-from grantlens.functions.numbers import count_where, millions, money, percent, row_count
+from grantlens.functions.numbers import (
+    count_where,
+    millions,
+    money,
+    percent,
+    row_count,
+    sum_or_zero,
+)
 from grantlens.functions.text import (
     UEI_SHAPE,
     canonical_name,
@@ -168,7 +175,7 @@ def institution_portfolio(
         "pop_end",
         "action_date",
         "obligated",
-        F.abs(F.coalesce("post_termination_deobligation", F.lit(0.0))).alias("deobligated"),
+        F.abs(F.coalesce("post_termination_deobligation", F.lit(0))).alias("deobligated"),
         "terminated_on",
         "reinstated_on",
         "abstract",
@@ -217,7 +224,7 @@ def institution_summary(portfolio: DataFrame) -> DataFrame:
         return F.sum(name).alias(name)
 
     def dollars(name: str):
-        return money(F.coalesce(F.sum(name), F.lit(0.0))).alias(name)
+        return money(sum_or_zero(name)).alias(name)
 
     summed = per_directorate.groupBy(*INSTITUTION).agg(
         total("n_total"),

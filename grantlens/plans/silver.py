@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from grantlens.config import DEFAULT_CONFIG, StudyConfig
 from grantlens.functions import flags
@@ -13,6 +14,8 @@ from grantlens.operators.rows import keep_one, whole_row_order, with_surrogate_k
 from grantlens.sources import schemas
 from grantlens.sources.literals import literal_table
 
+MONEY_TYPE = "decimal(18,2)"
+
 # The agency and its directorates.
 AGENCY_SEED = [
     (1, "NSF", "National Science Foundation", "top", None),
@@ -45,6 +48,24 @@ def topic_order(spark: SparkSession) -> DataFrame:
     return literal_table(spark, schemas.TOPICS_TABLE, list(enumerate(TOPIC_ORDER)))
 
 
+def load_time(cfg: StudyConfig) -> Column:
+    """The run's timestamp, in the session's time zone."""
+    return F.lit(cfg.run_ts.isoformat(sep=" ")).cast("timestamp")
+
+
+def with_exact_money(table: DataFrame) -> DataFrame:
+    """Amounts as DECIMAL(18,2): sums of any length are then exact to the cent.
+
+    The tables hold doubles, like the feeds. Every plan takes either.
+    """
+    amounts = {
+        f.name: F.col(f.name).cast(MONEY_TYPE)
+        for f in table.schema.fields
+        if isinstance(f.dataType, T.DoubleType)
+    }
+    return table.withColumns(amounts) if amounts else table
+
+
 def _text_date(name: str) -> Column:
     return F.col(name).try_cast("date")
 
@@ -170,8 +191,9 @@ def awards(
         award_rollup(usaspending, cfg), ["award_id_fain"], [F.col("award_unique_key").asc()]
     )
     if recipients is not None:
-        unique = keep_known(unique, "recipient_uei", recipients, unique=True).select(*unique.columns)
-    return unique.withColumn("pulled_at", F.lit(cfg.run_ts))
+        known = keep_known(unique, "recipient_uei", recipients, unique=True)
+        unique = known.select(*unique.columns)
+    return unique.withColumn("pulled_at", load_time(cfg))
 
 
 def transaction_rows(usaspending: DataFrame) -> DataFrame:
@@ -225,7 +247,7 @@ def transactions(
     known = known.select(*rows.columns)
     return keep_one(
         known, ["transaction_unique_key"], whole_row_order(known, ["action_date"])
-    ).withColumn("pulled_at", F.lit(cfg.run_ts))
+    ).withColumn("pulled_at", load_time(cfg))
 
 
 def termination_rows(tracker: DataFrame) -> DataFrame:

@@ -137,7 +137,9 @@ def active_funding(awards: DataFrame) -> DataFrame:
             money(F.sum("total_obligated_amount")).alias("total_obligated_active"),
             F.count("total_outlayed_amount").alias("n_with_outlay_reported"),
             money(F.sum("total_outlayed_amount")).alias("total_outlaid_reported"),
-            percent_rounded(F.count("total_outlayed_amount"), row_count(), 1).alias("pct_outlay_reported"),
+            percent_rounded(F.count("total_outlayed_amount"), row_count(), 1).alias(
+                "pct_outlay_reported"
+            ),
         )
         .orderBy(F.desc_nulls_last("total_obligated_active"))
     )
@@ -182,7 +184,7 @@ def new_awards_by_half(transactions: DataFrame, cfg: StudyConfig) -> DataFrame:
             count_where(prior).alias("fy25_new_count"),
             money(sum_where(prior, amount)).alias("fy25_new_oblig"),
             count_where(current).alias("fy26_new_count"),
-            money(F.coalesce(sum_where(current, amount), F.lit(0.0))).alias("fy26_new_oblig"),
+            money(F.coalesce(sum_where(current, amount), F.lit(0))).alias("fy26_new_oblig"),
         )
     )
 
@@ -205,7 +207,7 @@ def directorate_resilience(
         .select(
             "directorate",
             F.coalesce("_n", F.lit(0)).alias("n_open_opportunities"),
-            money(F.coalesce("_funding", F.lit(0.0))).alias("open_advertised_funding"),
+            money(F.coalesce("_funding", F.lit(0))).alias("open_advertised_funding"),
             "fy25_new_count",
             "fy26_new_count",
             percent_rounded(F.col("fy26_new_count"), F.col("fy25_new_count"), 1).alias(
@@ -224,8 +226,8 @@ def directorate_resilience(
 def monthly_obligations(transactions: DataFrame) -> DataFrame:
     """Monthly totals per directorate; new money and clawbacks stay apart."""
     amount = F.col("federal_action_obligation")
-    gained = F.when(amount >= 0, amount).otherwise(0.0)
-    lost = F.when(amount < 0, amount).otherwise(0.0)
+    gained = F.when(amount >= 0, amount).otherwise(0)
+    lost = F.when(amount < 0, amount).otherwise(0)
     return (
         transactions.filter(F.col("action_date").isNotNull())
         .groupBy(

@@ -28,6 +28,13 @@ def test_numeric_codes_can_be_repaired(spark):
     assert apply(spark, "c double", [{"c": 47.05}], classify.cfda_text(F.col("c"))) == ["47.050"]
 
 
+def test_directorate_vocabularies_meet(spark):
+    rows = [{"c": c} for c in ["NSF-CSE", "CISE", " stem education ", "Office of Polar Programs", "Misc", None]]
+    assert apply(spark, "c string", rows, classify.directorate_code(F.col("c"))) == [
+        "CISE", "CISE", "EDU", "OPP", "Misc", None,
+    ]
+
+
 def test_first_topic_rule_wins_and_matches_inside_words(spark):
     titles = ["Training systems", "Climate teacher", None, "A DATABASE", "Fossil birds"]
     rows = [{"t": t} for t in titles]

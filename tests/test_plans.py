@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from grantlens.config import DEFAULT_CONFIG as CFG
-from grantlens.plans import baselines, changes, dashboard, institutions, views
+from grantlens.plans import baselines, changes, dashboard, institutions, silver, views
 from tests.helpers import (
     awards,
     column,
@@ -119,6 +119,34 @@ def test_monthly_net_is_gross_minus_clawback(spark):
     assert [r.n_deobligations for r in got] == [1, 0]
 
 
+def test_plans_take_decimal_amounts(spark):
+    held, people = scope(spark, ["F1"])
+    acts = transactions(
+        spark,
+        act("1", "2025-01-05", "NEW", 0.1),
+        act("2", "2025-01-06", "NEW", 0.2),
+        act("3", "2025-01-07", "REVISION", -7.0),
+    )
+    cut = terminations(spark, {"award_id_fain": "F1", "post_termination_deobligation": -0.3})
+
+    def results(convert):
+        a, t, h = convert(acts), convert(cut), convert(held)
+        return [
+            [tuple(r) for r in df.collect()]
+            for df in [
+                views.monthly_obligations(a),
+                views.disruption_by_directorate(t, h),
+                dashboard.phase_timeline(a, t, h, people),
+                dashboard.termination_totals(t, h, people),
+                institutions.institution_summary(
+                    institutions.institution_portfolio(people, h, t)
+                ),
+            ]
+        ]
+
+    assert results(silver.with_exact_money) == results(lambda df: df)
+
+
 def test_timeline_fills_gaps_with_zeros(spark):
     held, people = scope(spark, ["F1"])
     acts = transactions(
