@@ -12,6 +12,7 @@ DateWindow = tuple[dt.date, dt.date]
 class StudyConfig:
     """Parameters shared by all plans. Windows are half open: [from, to)."""
 
+    # Date of the data pull, freeze date and study windows.
     # "Today" for every activity flag, so that results do not change daily.
     as_of: dt.date = dt.date(2026, 4, 6)
     # Load timestamp written into pulled_at / detected_at.

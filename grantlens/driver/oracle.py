@@ -60,6 +60,13 @@ def pct(part: str, whole: str) -> str:
     return f"(100.0::DOUBLE * {part} / nullif({whole}, 0))"
 
 
+PERIOD_STATUS = f"""CASE
+    WHEN period_of_perf_end IS NULL THEN 'unknown'
+    WHEN period_of_perf_start > {AS_OF} THEN 'not_yet_started'
+    WHEN date_diff('day', period_of_perf_end, {AS_OF}) > 365 THEN 'ended_over_1yr'
+    ELSE if(period_of_perf_end < {AS_OF}, 'ended_under_1yr', 'in_progress') END"""
+
+
 def display_name(name: str) -> str:
     words = f"regexp_extract_all({name}, '[\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}]+')"
     cased = (

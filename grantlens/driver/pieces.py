@@ -8,8 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grantlens.driver import adapter
-from grantlens.driver.oracle import AS_OF, FREEZE, academic, canonical_name, cents, display_name
-from grantlens.driver.oracle import directorate, pct, topic
+from grantlens.driver.oracle import (
+    AS_OF,
+    FREEZE,
+    PERIOD_STATUS,
+    academic,
+    canonical_name,
+    cents,
+    directorate,
+    display_name,
+    pct,
+    topic,
+)
 from grantlens.driver.registry import CFG, query
 from grantlens.functions import classify, flags, text
 from grantlens.functions.numbers import count_where, money, percent, row_count, sum_where
@@ -594,42 +604,32 @@ def flg4(s: TableStore) -> DataFrame:
     return silver.award_rollup(s.table("usaspending"), CFG).select("award_unique_key", "is_active")
 
 
-FLAG_SQL = {
-    "flg5_outlay_status": (
-        "SELECT CASE WHEN total_outlayed_amount IS NULL THEN 'not_yet_reported' ELSE 'reported' END "
-        "AS outlay_reporting_status, count(*) AS n FROM awards GROUP BY 1"
-    ),
-    "flg7_reporting_lag": (
-        "SELECT date_diff('day', action_date, DATE '2026-04-06') <= 90 "
-        "AS action_in_reporting_lag_window, count(*) AS n FROM awards GROUP BY 1"
-    ),
-}
-
-
-@query("flg5_outlay_status", FLAG_SQL["flg5_outlay_status"])
+@query(
+    "flg5_outlay_status",
+    """
+    SELECT 'not_yet_reported' AS outlay_reporting_status, count(*) AS n FROM awards
+    WHERE total_outlayed_amount IS NULL
+    UNION ALL SELECT 'reported', count(total_outlayed_amount) FROM awards
+    """,
+)
 def flg5(s: TableStore) -> DataFrame:
     status = flags.outlay_status(F.col("total_outlayed_amount")).alias("outlay_reporting_status")
     return s.table("awards").groupBy(status).agg(F.count("*").alias("n"))
 
 
-@query(
-    "flg6_period_status",
-    f"""
-    SELECT award_unique_key, CASE
-        WHEN period_of_perf_end IS NULL THEN 'unknown'
-        WHEN period_of_perf_start > {AS_OF} THEN 'not_yet_started'
-        WHEN period_of_perf_end < DATE '2025-04-06' THEN 'ended_over_1yr'
-        WHEN period_of_perf_end < {AS_OF} THEN 'ended_under_1yr'
-        ELSE 'in_progress' END AS pop_status
-    FROM awards
-    """,
-)
+@query("flg6_period_status", f"SELECT award_unique_key, {PERIOD_STATUS} AS pop_status FROM awards")
 def flg6(s: TableStore) -> DataFrame:
     status = flags.period_status(F.col("period_of_perf_start"), F.col("period_of_perf_end"), CFG)
     return s.table("awards").select("award_unique_key", status.alias("pop_status"))
 
 
-@query("flg7_reporting_lag", FLAG_SQL["flg7_reporting_lag"])
+@query(
+    "flg7_reporting_lag",
+    """
+    SELECT date_diff('day', action_date, DATE '2026-04-06') <= 90
+           AS action_in_reporting_lag_window, count(*) AS n FROM awards GROUP BY 1
+    """,
+)
 def flg7(s: TableStore) -> DataFrame:
     lag = flags.in_reporting_lag(F.col("action_date"), CFG).alias("action_in_reporting_lag_window")
     return s.table("awards").groupBy(lag).agg(F.count("*").alias("n"))

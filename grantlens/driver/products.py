@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from grantlens.driver import adapter
 from grantlens.driver.oracle import (
-    AS_OF,
     FREEZE,
+    PERIOD_STATUS,
     cents,
-    directorate,
     pct,
     rounded,
     topic,
@@ -157,11 +156,7 @@ def v3(s: TableStore) -> DataFrame:
     SELECT *,
            if(total_outlayed_amount IS NULL, 'not_yet_reported', 'reported')
                AS outlay_reporting_status,
-           CASE WHEN period_of_perf_end IS NULL THEN 'unknown'
-                WHEN period_of_perf_start > {AS_OF} THEN 'not_yet_started'
-                WHEN period_of_perf_end >= {AS_OF} THEN 'in_progress'
-                WHEN period_of_perf_end < DATE '2025-04-06' THEN 'ended_over_1yr'
-                ELSE 'ended_under_1yr' END AS pop_status,
+           {PERIOD_STATUS} AS pop_status,
            action_date >= DATE '2026-01-06' AS action_in_reporting_lag_window
     FROM awards
     """,

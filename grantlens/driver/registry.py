@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from grantlens.config import DEFAULT_CONFIG
 from grantlens.driver import adapter
 from grantlens.driver.oracle import with_tables
-from grantlens.plans import bronze, changes, dashboard, institutions, silver
+from grantlens.plans import changes
+from grantlens.plans.tables import table_specs
 from grantlens.sources.store import TableSpec, TableStore, shared_folder
 
 QueryFn = Callable[[TableStore], DataFrame]
@@ -32,83 +33,19 @@ def query(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 
 
 def _specs(sf_dir: str) -> dict[str, TableSpec]:
-    def table(build, **layout) -> TableSpec:
-        return TableSpec(build, **layout)
-
-    return {
-        "raw_usaspending": table(lambda s: adapter.usaspending(s.spark, sf_dir), stored=False),
-        "raw_grants": table(lambda s: adapter.grants(s.spark, sf_dir), stored=False),
-        "raw_tracker": table(lambda s: adapter.terminations(s.spark, sf_dir), stored=False),
-        "usaspending": table(
-            lambda s: silver.with_fiscal_year(
-                bronze.usaspending(s.table("raw_usaspending"), CFG)
-            ),
-            partition_by="fiscal_year",
-        ),
-        "grants": table(lambda s: bronze.grants(s.table("raw_grants"))),
-        "tracker": table(lambda s: bronze.terminations(s.table("raw_tracker"))),
-        "recipients": table(lambda s: silver.recipients(s.table("usaspending"))),
-        "opportunities": table(lambda s: silver.opportunities(s.table("grants"), CFG)),
-        "awards": table(lambda s: silver.awards(s.table("usaspending"), cfg=CFG)),
-        "orphan_award_keys": table(
-            lambda s: silver.orphan_award_keys(s.table("usaspending"), s.table("awards"))
-        ),
-        "transactions": table(
-            lambda s: silver.with_fiscal_year(
-                silver.transactions(
-                    s.table("usaspending"), cfg=CFG, orphan_keys=s.table("orphan_award_keys")
-                )
-            ),
-            partition_by="fiscal_year",
-            sort_by=("action_date",),
-        ),
-        "terminations": table(
-            lambda s: silver.terminations(s.table("tracker"), s.table("awards"))
-        ),
-        "change_log": table(
-            lambda s: changes.change_log(
-                changes.diff_snapshots(
-                    adapter.old_snapshot(s.table("opportunities")),
-                    adapter.new_snapshot(s.table("opportunities")),
-                    2,
-                    CFG,
-                )
-            )
-        ),
-        "choices": table(
-            lambda s: institutions.institution_choices(
-                s.table("recipients"), s.table("awards"), s.table("terminations"), CFG
-            )
-        ),
-        "termination_totals": table(
-            lambda s: dashboard.termination_totals(
-                s.table("terminations"), s.table("awards"), s.table("recipients"), CFG
-            )
-        ),
-        "pre_post": table(
-            lambda s: dashboard.pre_post_by_directorate(
-                s.table("transactions"),
-                s.table("awards"),
-                s.table("terminations"),
-                s.table("recipients"),
-                CFG,
-            )
-        ),
-        "timeline": table(
-            lambda s: dashboard.phase_timeline(
-                s.table("transactions"),
-                s.table("terminations"),
-                s.table("awards"),
-                s.table("recipients"),
-                CFG,
-            )
-        ),
-        "portfolio": table(
-            lambda s: institutions.institution_portfolio(
-                s.table("recipients"), s.table("awards"), s.table("terminations"), CFG
-            )
-        ),
-    }
+    specs = table_specs(
+        lambda spark: adapter.usaspending(spark, sf_dir),
+        lambda spark: adapter.grants(spark, sf_dir),
+        lambda spark: adapter.terminations(spark, sf_dir),
+        CFG,
+    )
+
+    def change_log(s: TableStore) -> DataFrame:
+        opportunities = s.table("opportunities")
+        old, new = adapter.old_snapshot(opportunities), adapter.new_snapshot(opportunities)
+        return changes.change_log(changes.diff_snapshots(old, new, 2, CFG))
+
+    return {**specs, "change_log": TableSpec(change_log)}
 
 
 _STORES: dict[tuple[str, str], TableStore] = {}

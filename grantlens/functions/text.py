@@ -20,6 +20,7 @@ NAME_SUFFIXES = [
     "LIMITED",
     "LTD",
 ]
+# Leading article, shape of a recipient id, sign for missing text.
 LEADING_ARTICLE = r"(?i)^\s*THE\s+"
 UEI_SHAPE = "^[A-Z0-9]{12}$"
 NO_TEXT = "—"

@@ -45,7 +45,8 @@ def with_surrogate_key(
     Equal rows are counted first and then cut into chunks of at most `chunk`
     copies, so a large group of copies travels as few rows. Chunks are hashed
     into buckets; the running total of at most `buckets` bucket sizes gives each
-    bucket its first number, and a running total inside the bucket the rest.
+    bucket its first number, and a running total inside the bucket the rest, in
+    order of the hash and, where that ties, of the columns.
     """
     columns = df.columns
     copies = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
@@ -55,7 +56,8 @@ def with_surrogate_key(
             "_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / chunk)))
         )
         .withColumn("_size", F.least(F.lit(chunk), F.col("_copies") - done))
-        .withColumn("_bucket", F.pmod(F.xxhash64(*columns, "_chunk"), F.lit(buckets)))
+        .withColumn("_hash", F.xxhash64(*columns, "_chunk"))
+        .withColumn("_bucket", F.pmod("_hash", F.lit(buckets)))
         .drop("_copies")
     )
     totals = chunks.groupBy("_bucket").agg(F.sum("_size").alias("_total"))
@@ -65,7 +67,7 @@ def with_surrogate_key(
     )
     in_bucket = (
         W.partitionBy("_bucket")
-        .orderBy(*columns, "_chunk")
+        .orderBy("_hash", *columns, "_chunk")
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     last = F.col("_offset") + F.sum("_size").over(in_bucket)

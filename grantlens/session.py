@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
+    # Compare in-memory rather than ZSTD file sizes with the broadcast limit.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.ui.enabled": "false",
 }
 
