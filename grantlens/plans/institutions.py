@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grantlens.config import DEFAULT_CONFIG, StudyConfig
@@ -161,7 +161,7 @@ def institution_portfolio(
             tracked.filter(F.col("award_id_fain").isNotNull()), ["award_id_fain"], latest
         )
     members = institution_members(recipients, cfg).drop("display_name")
-    rows = left_join_fanout(held.join(members, "recipient_uei"), tracked, "award_id_fain")
+    rows = left_join_fanout(held, tracked, "award_id_fain").join(members, "recipient_uei")
     return rows.select(
         *INSTITUTION,
         "recipient_uei",
@@ -190,7 +190,7 @@ def in_display_order(portfolio: DataFrame) -> DataFrame:
     )
 
 
-def is_terminated():
+def is_terminated() -> Column:
     return F.col("status").isin("Terminated", "Reinstated")
 
 
@@ -220,10 +220,10 @@ def institution_summary(portfolio: DataFrame) -> DataFrame:
     hit = (F.col("n_term") > 0) & F.col("dir").isNotNull()
     most = F.min(F.when(hit, F.struct((-F.col("n_term")).alias("rank"), F.col("dir"))))
 
-    def total(name: str):
+    def total(name: str) -> Column:
         return F.sum(name).alias(name)
 
-    def dollars(name: str):
+    def dollars(name: str) -> Column:
         return money(sum_or_zero(name)).alias(name)
 
     summed = per_directorate.groupBy(*INSTITUTION).agg(

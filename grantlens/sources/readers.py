@@ -113,6 +113,18 @@ def read_csv_groups(
     return CheckedScan(union([s.rows for s in scans]), union([s.quarantine for s in scans]))
 
 
+def header_groups(spark: SparkSession, files: list[str]) -> list[list[str]]:
+    """Group files by their header line, for feeds whose layout drifts per file.
+
+    One job per file, each reading a single line; data rows stay where they are.
+    """
+    groups: dict[str, list[str]] = {}
+    for file in files:
+        first = spark.read.text(file).head()
+        groups.setdefault(first.value if first else "", []).append(file)
+    return [group for header, group in groups.items() if header]
+
+
 def read_parquet(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:

@@ -36,6 +36,17 @@ def test_groups_align_by_name(spark, tmp_path):
     assert scan.quarantine.count() == 0
 
 
+def test_files_are_grouped_by_header(spark, tmp_path):
+    one = write(tmp_path / "a", "id,name,n,d\n1,a,5,2025-01-01\n") + "/part.csv"
+    two = write(tmp_path / "b", "name,id\nb,2\n") + "/part.csv"
+    three = write(tmp_path / "c", "id,name,n,d\n3,c,7,\n") + "/part.csv"
+    empty = write(tmp_path / "e", "") + "/part.csv"
+    groups = readers.header_groups(spark, [one, two, three, empty])
+    assert groups == [[one, three], [two]]
+    rows = readers.read_csv_groups(spark, groups, SMALL).rows
+    assert records(rows, "id", "name", "n") == [("1", "a", 5), ("2", "b", None), ("3", "c", 7)]
+
+
 @pytest.mark.parametrize("multi_line", [True, False])
 def test_rejected_rows_do_not_depend_on_the_columns_read(spark, tmp_path, multi_line):
     path = write(
