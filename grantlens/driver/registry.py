@@ -32,7 +32,7 @@ def query(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
     return register
 
 
-def _specs(sf_dir: str) -> dict[str, TableSpec]:
+def table_specs_for(sf_dir: str) -> dict[str, TableSpec]:
     specs = table_specs(
         lambda spark: adapter.usaspending(spark, sf_dir),
         lambda spark: adapter.grants(spark, sf_dir),
@@ -59,7 +59,7 @@ def store_for(spark: SparkSession, sf_dir: str) -> TableStore:
         if folder is not None:
             label = "".join(c if c.isalnum() else "_" for c in sf_dir).strip("_")
             folder = f"{folder}/{label}"
-        _STORES[key] = TableStore(spark, folder, _specs(sf_dir))
+        _STORES[key] = TableStore(spark, folder, table_specs_for(sf_dir))
     return _STORES[key]
 
 

@@ -110,7 +110,7 @@ def institution_search(
 
 def valid_ueis(text: str) -> list[str]:
     """Split a comma-separated request; one malformed id voids all of it."""
-    ids = text.split(",") if text else []
+    ids = text.removesuffix(",").split(",") if text else []
     return ids if all(re.fullmatch(UEI_SHAPE, i) for i in ids) else []
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from grantlens.driver import registry
+from grantlens.sources.store import TableStore
 from tests.helpers import plan, records
 from tools import check
 
@@ -70,5 +72,14 @@ def test_results_do_not_depend_on_partition_counts(spark, name):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
+@pytest.mark.parametrize(
+    "name", ["d1_termination_totals", "d8_institution_choices", "d15_headline_kpis", "x2_untracked_disruption"]
+)
+def test_queries_work_without_a_shared_folder(spark, name):
+    lazy = TableStore(spark, None, registry.table_specs_for(SF))
+    df, stored = registry.QUERIES[name](lazy), contract.queries()[name](spark, SF)
+    assert records(df, *df.columns) == records(stored, *stored.columns)
+
+
 def test_entry_runs(spark):
     assert contract.entry(spark).count() > 0

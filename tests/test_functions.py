@@ -164,7 +164,9 @@ def test_percent_of_nothing_is_null(spark):
     [
         ("ABC123DEF456", ["ABC123DEF456"]),
         ("ABC123DEF456,AAAAAAAAAAAA", ["ABC123DEF456", "AAAAAAAAAAAA"]),
+        ("ABC123DEF456,", ["ABC123DEF456"]),
         ("ABC123DEF456,abc", []),
+        ("ABC123DEF456,,", []),
         ("ABC123DEF456\n", []),
         ("", []),
     ],
