@@ -11,7 +11,7 @@ from tests.helpers import plan, records
 from tools import check
 
 SF = "/root/testdata/sf0.001"
-NAMES = list(contract.queries())
+NAMES = list(registry.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +26,7 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.oracle_sql()) == set(NAMES)
+    assert set(registry.ORACLES) == set(NAMES)
 
 
 @pytest.mark.parametrize("name", NAMES)
