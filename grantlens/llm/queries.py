@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from grantlens.llm import bpe, simhash
+from grantlens.llm import bpe, lines, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": simhash.op5_simhash,
+    "op7_quality": quality.op7_quality,
     "op8_bpe": bpe.op8_bpe,
+    "op10_lines": lines.op10_lines,
 }
 ORACLES: dict[str, str] = {}
