@@ -22,7 +22,9 @@ from grantlens.llm.common import load, map_steps, raw_text
 
 # Fixed value: the published splitting pattern of this byte-level tokenizer.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KEPT_PIECES = 300_000
+# Encodings a task keeps: so many recent ones and as many older ones.
+KEPT_PIECES = 200_000
+NEVER = 1 << 40
 ENCODED = "doc_id bigint, ids binary, decoded string"
 
 
@@ -46,10 +48,13 @@ class Codec(dict):
         vocab = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items()}
         self.token = {i: t for t, i in vocab.items()}
         self.byte_id = [vocab[bytes([b])] for b in range(256)]
-        self.merge: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, pair in enumerate(model["merges"]):
+        self.older: dict[str, bytes] = {}
+        self.rank: dict[tuple[int, int], int] = {}
+        self.made: list[int] = []
+        for pair in model["merges"]:
             a, b = (bytes(letters[c] for c in t) for t in (pair.split(" ") if isinstance(pair, str) else pair))
-            self.merge[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            self.rank[vocab[a], vocab[b]] = len(self.made)
+            self.made.append(vocab[a + b])
         self.inside = bytearray(1 << 16)
         for t in vocab:
             for a, b in zip(t, t[1:]):
@@ -63,56 +68,66 @@ class Codec(dict):
         self.table = [self.token.get(i, b"") for i in range(size)]
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= KEPT_PIECES:
-            self.clear()
-        ids: list[int] = []
-        for fragment in self.fragments(piece.encode()):
-            ids += self.merged([self.byte_id[b] for b in fragment])
-        packed = np.array(ids, dtype="<u4").tobytes()
+        packed = self.older.get(piece)
+        if packed is None:
+            ids: list[int] = []
+            for fragment in self.fragments(piece.encode()):
+                ids += self.merged([self.byte_id[b] for b in fragment])
+            packed = np.array(ids, dtype="<u4").tobytes()
         if len(piece) <= 64:
+            if len(self) >= KEPT_PIECES:
+                self.older = dict(self)
+                self.clear()
             self[piece] = packed
         return packed
 
     def fragments(self, raw: bytes) -> list[bytes]:
         """The piece cut at each byte pair that no token holds."""
-        cuts = [i for i in range(1, len(raw)) if not self.inside[raw[i - 1] << 8 | raw[i]]]
+        inside = self.inside
+        if all([inside[a << 8 | b] for a, b in zip(raw, raw[1:])]):
+            return [raw]
+        cuts = [i for i in range(1, len(raw)) if not inside[raw[i - 1] << 8 | raw[i]]]
         return [raw[a:b] for a, b in zip([0, *cuts], [*cuts, len(raw)])]
 
     def merged(self, ids: list[int]) -> list[int]:
         """Merge pairs, the lowest rank first, from left to right."""
-        return self._merged_short(ids) if len(ids) <= 40 else self._merged_long(ids)
+        return self._merged_short(ids) if len(ids) <= 64 else self._merged_long(ids)
 
     def _merged_short(self, ids: list[int]) -> list[int]:
-        merge = self.merge
-        while len(ids) > 1:
-            rank, at, new = min(
-                ((m[0], i, m[1]) for i, p in enumerate(zip(ids, ids[1:])) if (m := merge.get(p))),
-                default=(None, 0, 0),
-            )
-            if rank is None:
+        rank, made = self.rank, self.made
+        ranks = [rank.get((a, b), NEVER) for a, b in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == NEVER:
                 break
-            ids[at : at + 2] = [new]
+            at = ranks.index(best)
+            ids[at] = made[best]
+            del ids[at + 1], ranks[at]
+            if at:
+                ranks[at - 1] = rank.get((ids[at - 1], ids[at]), NEVER)
+            if at < len(ranks):
+                ranks[at] = rank.get((ids[at], ids[at + 1]), NEVER)
         return ids
 
     def _merged_long(self, ids: list[int]) -> list[int]:
         """The same with a heap and links, in n log n."""
-        merge, n = self.merge, len(ids)
+        rank, n = self.rank, len(ids)
         after, prior = [*range(1, n), -1], list(range(-1, n - 1))
-        alive = bytearray(b"\1" * n)
-        heap = [(m[0], i, ids[i], ids[i + 1], m[1]) for i in range(n - 1) if (m := merge.get((ids[i], ids[i + 1])))]
+        heap = [(rank.get(p, NEVER), i, *p) for i, p in enumerate(zip(ids, ids[1:]))]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b, new = heapq.heappop(heap)
+            best, i, a, b = heapq.heappop(heap)
             j = after[i]
-            if not alive[i] or j < 0 or ids[i] != a or ids[j] != b:
+            if best == NEVER or j < 0 or ids[i] != a or ids[j] != b:
                 continue
-            ids[i], alive[j], after[i] = new, 0, after[j]
+            ids[i], ids[j], after[i] = self.made[best], -1, after[j]
             if after[j] >= 0:
                 prior[after[j]] = i
             for k in (prior[i], i):
-                if k >= 0 and after[k] >= 0 and (m := merge.get((ids[k], ids[after[k]]))):
-                    heapq.heappush(heap, (m[0], k, ids[k], ids[after[k]], m[1]))
-        return [t for t, on in zip(ids, alive) if on]
+                if k >= 0 and after[k] >= 0:
+                    pair = ids[k], ids[after[k]]
+                    heapq.heappush(heap, (rank.get(pair, NEVER), k, *pair))
+        return [t for t in ids if t >= 0]
 
     def encode(self, text: str) -> bytes:
         """Token ids as little-endian unsigned 32-bit integers."""

@@ -47,7 +47,7 @@ def test_special_texts(library, codec, text):
 
 def test_long_pieces_agree_with_short_ones(library, codec):
     rng = random.Random(1)
-    for n in (39, 41, 300, 3000):
+    for n in (39, 63, 66, 300, 3000):
         word = "".join(rng.choice("etaoinshrdlu") for _ in range(n))
         assert codec.encode(word) == packed(library, word)
 
@@ -62,7 +62,7 @@ def test_cuts_are_at_pairs_no_token_holds(codec):
 def test_kept_pieces_stay_bounded(codec, monkeypatch):
     monkeypatch.setattr(bpe, "KEPT_PIECES", 10)
     codec.encode(" ".join(f"w{i}" for i in range(50)))
-    assert len(codec) <= 10
+    assert len(codec) <= 10 and len(codec.older) <= 300_000
 
 
 def test_query_as_the_library(spark, library):
