@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from grantlens.llm import bpe, lines, quality, simhash
+from grantlens.llm import bpe, decontamination, lines, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": simhash.op5_simhash,
     "op7_quality": quality.op7_quality,
     "op8_bpe": bpe.op8_bpe,
+    "op9_decontamination": decontamination.op9_decontamination,
     "op10_lines": lines.op10_lines,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_decontamination": decontamination.SQL}
