@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 # Text handed to one step inside a task; a longer document is a step of its own.
 STEP_BYTES = 4 << 20
+# Rows of a few numbers each that may be broadcast: some tens of megabytes.
+BROADCAST_ITEMS = 500_000
 
 _LOCAL: dict[str, str] = {}
 
@@ -50,6 +52,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(table: DataFrame, weight: str | None = None, limit: int = BROADCAST_ITEMS) -> DataFrame:
+    """A stored table, marked for broadcast if it has at most `limit` rows.
+
+    weight names an array column whose elements count as rows. Beyond the limit
+    the table is joined as Spark chooses, by a shuffle.
+    """
+    size = F.count("*") + (F.coalesce(F.sum(F.size(weight)), F.lit(0)) if weight else 0)
+    return F.broadcast(table) if table.agg(size).first()[0] <= limit else table
+
+
 def raw_text(column: str = "text") -> Column:
     """UTF-8 bytes of a text column; null counts as empty."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b"").cast("binary"))

@@ -229,12 +229,13 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> Dat
             nonlocal held
             if not held:
                 return
-            mask, val, fp = (np.concatenate(x) for x in zip(*held))
+            mask, fp = (np.concatenate(x) for x in zip(*held))
+            val = fp & mask
             stop = len(fp)
             if not last:
                 same = (mask == mask[-1]) & (val == val[-1])
                 stop = stop - int(np.argmin(same[::-1])) if not same.all() else 0
-            held = [(mask[stop:], val[stop:], fp[stop:])] if stop < len(fp) else []
+            held = [(mask[stop:], fp[stop:])] if stop < len(fp) else []
             if stop:
                 a, b = _stars(mask[:stop], val[:stop], fp[:stop].view(np.uint64), max_bits)
                 yield pa.RecordBatch.from_arrays(
@@ -242,14 +243,14 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> Dat
                 )
 
         for batch in batches:
-            held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("mask", "val", "fp")))
+            held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("mask", "fp")))
             if sum(len(x[0]) for x in held) >= HELD_ROWS:
                 yield from flush(False)
         yield from flush(True)
 
-    rows = bucketed(fps.select("fp"), max_bits, bucket)
-    rows = rows.repartition("mask", "val").withColumn("rank", gray_rank("fp"))
-    rows = rows.sortWithinPartitions("mask", "val", "rank").select("mask", "val", "fp")
+    rows = bucketed(fps.select("fp"), max_bits, bucket).select("mask", "fp")
+    val = F.col("fp").bitwiseAND(F.col("mask"))
+    rows = rows.repartition("mask", val).sortWithinPartitions("mask", val, gray_rank("fp"))
     return rows.mapInArrow(run, "src bigint, dst bigint")
 
 
