@@ -178,6 +178,18 @@ def digests(encoded: DataFrame) -> DataFrame:
     )
 
 
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256) of each document."""
+    encoded = encode_decode(docs, default_tokenizer())
+    return encoded.select(
+        "doc_id",
+        F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
+        "ids",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 

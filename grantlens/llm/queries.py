@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from grantlens.llm import bpe, decontamination, lines, quality, simhash
+import corpus_pipeline
+from grantlens.llm import bpe, decontamination, edit_embedding, html, lines, passages, pii, quality, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": pii.op1_pii,
+    "op2_edit_embedding": edit_embedding.op2_edit_embedding,
+    "op3_secrets": secrets.op3_secrets,
+    "op4_passages": passages.op4_passages,
     "op5_simhash": simhash.op5_simhash,
+    "op6_html": html.op6_html,
     "op7_quality": quality.op7_quality,
     "op8_bpe": bpe.op8_bpe,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_lines": lines.op10_lines,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {"op9_decontamination": decontamination.SQL}

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlens.llm.common import load, map_steps, raw_text, saved
+from grantlens.llm.common import broadcast_if_small, load, map_steps, raw_text, saved
 from grantlens.llm.components import connected
 
 SHINGLE = 3
@@ -64,16 +64,25 @@ def fingerprint(raw: bytes, size: int = SHINGLE) -> int:
     return int(np.packbits(2 * sums > total, bitorder="little").view(np.int64)[0]) if total else 0
 
 
+def row_key():
+    return F.xxhash64("doc_id", "text")
+
+
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) for each row; null and empty texts get fingerprint zero."""
+    """(row, doc_id, fp) for each row; null and empty texts get fingerprint zero.
+
+    row identifies a document row; repeated rows share it.
+    """
 
     def run(batch):
         return {
+            "row": batch.column("row"),
             "doc_id": batch.column("doc_id"),
             "fp": [fingerprint(t, size) for t in batch.column("text").to_pylist()],
         }
 
-    return map_steps(docs.select("doc_id", raw_text().alias("text")), run, "doc_id bigint, fp bigint")
+    chosen = docs.select(row_key().alias("row"), "doc_id", raw_text().alias("text"))
+    return map_steps(chosen, run, "row bigint, doc_id bigint, fp bigint")
 
 
 def split_bits(bits: int, parts: int) -> list[int]:
@@ -257,24 +266,26 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> Dat
 def near_duplicates(
     docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS, bucket: int = BUCKET
 ) -> DataFrame:
-    """(doc_id, fp, component_id) for each row of documents.
+    """(row, doc_id, fp, component_id, first_row) for each row of documents.
 
     component_id is the smallest doc_id reachable through fingerprints that
-    differ in at most max_bits bits, the row's own included. Null and empty
+    differ in at most max_bits bits, the row's own included; first_row is its
+    row, and where a group has no id, the smallest row. Null and empty
     texts have fingerprint zero and link like any other; a null doc_id never
     names a component; repeated rows give repeated results. An empty table
     gives an empty result.
     """
     each = saved(fingerprints(docs, size), "fingerprints")
-    codes = saved(each.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "codes")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("anon"), "doc_id", "row")).alias("first")
+    codes = saved(each.groupBy("fp").agg(first), "codes")
     roots = connected(links(codes, max_bits, bucket)).withColumnRenamed("node", "fp")
     linked = codes.join(roots, "fp")
-    named = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    linked = linked.join(named, "root").select("fp", "component_id")
-    label = codes.join(linked, "fp", "left").select(
-        "fp", F.coalesce("component_id", "first_id").alias("component_id")
+    named = linked.groupBy("root").agg(F.min("first").alias("least"))
+    linked = linked.join(named, "root").select("fp", "least")
+    label = codes.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("first"))
+    return each.join(label, "fp").select(
+        "row", "doc_id", "fp", F.col("first.doc_id").alias("component_id"), F.col("first.row").alias("first_row")
     )
-    return each.join(label, "fp").select("doc_id", "fp", "component_id")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,3 +293,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group, the one with the smallest doc_id; repeated rows count once."""
+    found = saved(near_duplicates(docs).select("row", "first_row"), "near-groups")
+    lost = found.filter("row <> first_row").select(F.col("row").alias("_row"), F.lit(0).alias("_n")).distinct()
+    many = found.filter("row = first_row").groupBy(F.col("row").alias("_row")).agg(F.count("*").cast("int").alias("_n"))
+    marks = broadcast_if_small(saved(lost.unionByName(many.filter("_n > 1")), "near-copies"))
+    rows = docs.withColumn("_row", row_key()).join(marks, "_row", "left")
+    alone = rows.filter("_n is null").select(*docs.columns)
+    return alone.unionByName(rows.filter("_n > 1").dropDuplicates(["_row"]).select(*docs.columns))

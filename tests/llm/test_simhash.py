@@ -106,3 +106,11 @@ def test_chain_of_edges(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (90, 90)], "src bigint, dst bigint")
     found = {r.node: r.root for r in components.connected(edges).collect()}
     assert found == {i: 0 for i in range(41)} | {100: 90, 90: 90}
+
+
+def test_stage_keeps_one_of_each_group(spark):
+    frame = clashing(docs(spark, None, "", "A b", "a B", "x y z w", "x y z w", "q", "q", ids=[7, 3, 9, None, 5, 5, None, None]))
+    out = simhash.stage(spark, frame, "")
+    assert out.columns == frame.columns
+    assert sorted((str(r.doc_id), r.text) for r in out.collect()) == [("3", ""), ("5", "x y z w"), ("9", "A b"), ("None", "q")]
+    assert simhash.stage(spark, frame.limit(0), "").count() == 0
