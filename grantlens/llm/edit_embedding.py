@@ -156,9 +156,8 @@ def near_duplicates(prints: DataFrame, least: float = LIKENESS) -> DataFrame:
     raw = codes.select("code", F.col("fingerprint").cast("binary").alias("text"))
     rows = map_steps(raw, keys, "code bigint, bands array<bigint>").select("code", F.explode("bands").alias("band"))
     order = W.partitionBy("band").orderBy("code")
-    pairs = rows.select(
-        "code", F.explode(F.array(F.first("code").over(order), F.lag("code").over(order))).alias("other")
-    )
+    pairs = rows.withColumn("others", F.array(F.first("code").over(order), F.lag("code").over(order)))
+    pairs = pairs.select("code", F.explode("others").alias("other"))
     pairs = pairs.filter("other is not null and other <> code").distinct()
     a = codes.select("code", F.col("fingerprint").alias("a"))
     b = codes.select(F.col("code").alias("other"), F.col("fingerprint").alias("b"))
@@ -188,7 +187,8 @@ def in_order(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ids = docs.filter("doc_id is not null")
-    cuts = sorted({int(x) for x in ids.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.2 / parts)})
+    shares = [k / parts for k in range(1, parts)]
+    cuts = sorted({int(x) for x in ids.approxQuantile("doc_id", shares, 0.2 / parts)}) if shares else []
     bucket = F.lit(0)
     table = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>") if cuts else None
     if cuts:
