@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from grantlens.config import DEFAULT_CONFIG, StudyConfig
 from grantlens.functions import flags
 from grantlens.sources import schemas
-from grantlens.sources.readers import CheckedScan, read_csv_checked, read_csv_groups
+from grantlens.sources.readers import CheckedScan, read_csv_files
 
 
 def usaspending(raw: DataFrame, cfg: StudyConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -32,13 +32,16 @@ def terminations(raw: DataFrame) -> DataFrame:
     )
 
 
-def scan_usaspending(spark: SparkSession, year_groups: list[str]) -> CheckedScan:
-    return read_csv_groups(spark, year_groups, schemas.USASPENDING)
+def scan_usaspending(
+    spark: SparkSession, paths: list[str], multi_line: bool = False
+) -> CheckedScan:
+    """Folders or files, each file with its own column order; large files are split."""
+    return read_csv_files(spark, paths, schemas.USASPENDING, multi_line)
 
 
-def scan_grants(spark: SparkSession, path: str) -> CheckedScan:
-    return read_csv_checked(spark, path, schemas.GRANTS)
+def scan_grants(spark: SparkSession, path: str, multi_line: bool = True) -> CheckedScan:
+    return read_csv_files(spark, path, schemas.GRANTS, multi_line)
 
 
-def scan_terminations(spark: SparkSession, path: str) -> CheckedScan:
-    return read_csv_checked(spark, path, schemas.TERMINATIONS)
+def scan_terminations(spark: SparkSession, path: str, multi_line: bool = True) -> CheckedScan:
+    return read_csv_files(spark, path, schemas.TERMINATIONS, multi_line)

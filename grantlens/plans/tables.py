@@ -7,14 +7,18 @@ folders, from Parquet or from anything else that yields the raw columns.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from grantlens.config import DEFAULT_CONFIG, StudyConfig
 from grantlens.plans import bronze, dashboard, institutions, silver
+from grantlens.sources.readers import CheckedScan
 from grantlens.sources.store import TableSpec, TableStore
 
 Feed = Callable[[SparkSession], DataFrame]
+Scan = Callable[[SparkSession], CheckedScan]
 
 
 def table_specs(
@@ -93,16 +97,53 @@ SILVER = [
 ]
 
 
+FEEDS = ["usaspending", "grants", "tracker"]
+
+
 def load(
     spark: SparkSession,
     folder: str,
-    usaspending: Feed,
-    grants: Feed,
-    tracker: Feed,
+    usaspending: Scan,
+    grants: Scan,
+    tracker: Scan,
     cfg: StudyConfig = DEFAULT_CONFIG,
 ) -> TableStore:
-    """Full reload of the silver tables below `folder`, a folder all executors see."""
-    store = TableStore(spark, folder, table_specs(usaspending, grants, tracker, cfg))
-    for name in SILVER:
+    """Full reload of the silver tables below `folder`, a folder all executors see.
+
+    Beside each feed its rejected rows and its unreadable values are stored, as
+    rejected_<feed> and unreadable_<feed>; load_counters counts them.
+    """
+    scans = {n: f(spark) for n, f in zip(FEEDS, (usaspending, grants, tracker))}
+    specs = table_specs(*[lambda _, s=scans[n]: s.rows for n in FEEDS], cfg)
+    for name, scan in scans.items():
+        specs[f"rejected_{name}"] = TableSpec(lambda _, s=scan: s.quarantine)
+        specs[f"unreadable_{name}"] = TableSpec(lambda _, s=scan: s.unreadable)
+    store = TableStore(spark, folder, specs)
+    for name in [*SILVER, *[f"{kind}_{n}" for n in FEEDS for kind in ("rejected", "unreadable")]]:
         store.table(name)
     return store
+
+
+def load_counters(store: TableStore) -> DataFrame:
+    """(stage, counter, n): what each feed lost on its way, and the awards and transactions dropped."""
+    parts = []
+    for name in FEEDS:
+        unreadable = store.table(f"unreadable_{name}").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+        rejected = store.table(f"rejected_{name}").agg(F.count("*").alias("n"))
+        for counter, counted in (("rejected rows", rejected), ("unreadable fields", unreadable)):
+            parts.append(counted.select(F.lit(name).alias("stage"), F.lit(counter).alias("counter"), "n"))
+    return reduce(DataFrame.union, [*parts, dropped_counters(store)])
+
+
+def dropped_counters(store: TableStore) -> DataFrame:
+    """Awards and transactions of the feed that the conformed tables do not hold."""
+    bronze_rows = store.table("usaspending")
+    offered = {
+        "awards": bronze_rows.select(F.col("assistance_award_unique_key").alias("k")).filter("k is not null").distinct(),
+        "transactions": silver.transaction_rows(bronze_rows),
+    }
+    parts = []
+    for name, rows in offered.items():
+        signed = rows.select(F.lit(1).alias("n")).union(store.table(name).select(F.lit(-1)))
+        parts.append(signed.agg(F.sum("n").alias("n")).select(F.lit(name).alias("stage"), F.lit("dropped").alias("counter"), "n"))
+    return reduce(DataFrame.union, parts)

@@ -11,13 +11,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RAW_LINE = "_raw_line"
+# Files whose headers one job reads.
+HEADERS_PER_JOB = 200
 
 
 class CheckedScan(NamedTuple):
-    """Well-formed typed rows, and the rejected rows as text with their raw line."""
+    """A CSV feed in three parts.
+
+    rows: typed rows with the right number of fields; a field that does not
+    parse is NULL. quarantine: the other rows, as text with their raw line.
+    unreadable: (field, value, n), how often which text could not be read.
+    """
 
     rows: DataFrame
     quarantine: DataFrame
+    unreadable: DataFrame
 
 
 def _scan_text_columns(
@@ -41,20 +49,14 @@ def _scan_text_columns(
     )
 
 
-def _well_formed(names: list[str], typed: list[T.StructField]) -> Column:
-    """True for rows with the right field count whose typed fields all parse.
+def _complete(names: list[str]) -> Column:
+    """True for rows with the right number of fields.
 
     A raw line is never shorter than its own first field, so the comparison
     holds exactly for rows without a raw line. Naming a data column in it lets
     Spark run count() on a scan whose fields are all text.
     """
-    complete = F.coalesce(F.length(RAW_LINE), F.lit(-1)) < F.coalesce(
-        F.length(names[0]), F.lit(0)
-    )
-    for field in typed:
-        text = F.col(field.name)
-        complete = complete & (text.isNull() | text.try_cast(field.dataType).isNotNull())
-    return complete
+    return F.coalesce(F.length(RAW_LINE), F.lit(-1)) < F.coalesce(F.length(names[0]), F.lit(0))
 
 
 def read_csv_checked(
@@ -63,10 +65,11 @@ def read_csv_checked(
     schema: T.StructType,
     multi_line: bool = True,
 ) -> CheckedScan:
-    """Tolerant CSV scan: rejected rows are kept apart instead of vanishing.
+    """Tolerant CSV scan of files with one header: nothing vanishes.
 
-    Fields are read as text and cast here, so a row's verdict does not depend
-    on the columns a query selects. Columns are matched to the header by name;
+    Fields are read as text and cast one by one, so an unreadable field costs
+    its own value and not the row, and a row's fate does not depend on the
+    columns a query selects. Columns are matched to the header by name;
     declared columns that the files lack become NULL, others are dropped.
     multi_line=True accepts line breaks in quoted fields, one task per file;
     set it to False for feeds without them, to split large files.
@@ -77,20 +80,30 @@ def read_csv_checked(
     typed = [f for f in present if not isinstance(f.dataType, T.StringType)]
 
     scan = _scan_text_columns(spark, paths, header, multi_line)
-    well_formed = _well_formed(header, typed)
+    complete = _complete(header)
     found = {f.name for f in present}
-    columns = [
-        (F.col(f.name).try_cast(f.dataType) if f.name in found else F.lit(None).cast(f.dataType))
-        .alias(f.name)
-        for f in schema.fields
-    ]
     texts = [
         (F.col(f.name) if f.name in found else F.lit(None).cast("string")).alias(f.name)
         for f in schema.fields
     ]
+    columns = [
+        text.try_cast(f.dataType).alias(f.name) for text, f in zip(texts, schema.fields)
+    ]
+    lost = [
+        F.when(
+            F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(),
+            F.struct(F.lit(f.name).alias("field"), F.col(f.name).alias("value")),
+        )
+        for f in typed
+    ]
+    none = F.array().cast("array<struct<field: string, value: string>>")
+    values = scan.filter(complete).select(
+        F.inline(F.array_compact(F.array(*lost)) if lost else none)
+    )
     return CheckedScan(
-        scan.filter(well_formed).select(*columns),
-        scan.filter(~well_formed).select(*texts, RAW_LINE),
+        scan.filter(complete).select(*columns),
+        scan.filter(~complete).select(*texts, RAW_LINE),
+        values.groupBy("field", "value").agg(F.count("*").alias("n")),
     )
 
 
@@ -100,29 +113,54 @@ def read_csv_groups(
     schema: T.StructType,
     multi_line: bool = True,
 ) -> CheckedScan:
-    """Union CSV groups (say, one folder per fiscal year) by column name.
+    """Union CSV groups by column name, each of files with one header.
 
-    Each group has one header; groups may differ in column order and may lack
-    columns, which become NULL.
+    Groups may differ in column order and may lack columns, which become NULL.
     """
     scans = [read_csv_checked(spark, group, schema, multi_line) for group in groups]
+    if not scans:
+        raise ValueError("no CSV file with a header")
 
     def union(parts: list[DataFrame]) -> DataFrame:
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
-    return CheckedScan(union([s.rows for s in scans]), union([s.quarantine for s in scans]))
+    unreadable = union([s.unreadable for s in scans]).groupBy("field", "value")
+    return CheckedScan(
+        union([s.rows for s in scans]),
+        union([s.quarantine for s in scans]),
+        unreadable.agg(F.sum("n").alias("n")),
+    )
+
+
+def read_csv_files(
+    spark: SparkSession, paths: str | list[str], schema: T.StructType, multi_line: bool = True
+) -> CheckedScan:
+    """Like read_csv_groups, for folders whose files may each have their own header."""
+    return read_csv_groups(spark, header_groups(spark, paths), schema, multi_line)
+
+
+def files_below(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The files that the paths name or hold. Their content is not read."""
+    listed = spark.read.format("binaryFile").load(paths).select("path")
+    return sorted(r.path for r in listed.collect())
 
 
-def header_groups(spark: SparkSession, files: list[str]) -> list[list[str]]:
-    """Group files by their header line, for feeds whose layout drifts per file.
+def header_groups(spark: SparkSession, paths: str | list[str]) -> list[list[str]]:
+    """Files by their header line, for feeds whose layout drifts per file.
 
-    One job per file, each reading a single line; data rows stay where they are.
+    One job per HEADERS_PER_JOB files reads the first line of each; data rows
+    stay where they are. Files without a header line are left out.
     """
+    files = files_below(spark, paths)
     groups: dict[str, list[str]] = {}
-    for file in files:
-        first = spark.read.text(file).head()
-        groups.setdefault(first.value if first else "", []).append(file)
-    return [group for header, group in groups.items() if header]
+    for at in range(0, len(files), HEADERS_PER_JOB):
+        heads = [
+            spark.read.text(f).limit(1).select(F.lit(f).alias("file"), "value")
+            for f in files[at : at + HEADERS_PER_JOB]
+        ]
+        for row in reduce(DataFrame.unionAll, heads).collect():
+            groups.setdefault(row.value, []).append(row.file)
+    return [sorted(group) for header, group in groups.items() if header]
 
 
 def read_parquet(

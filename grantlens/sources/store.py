@@ -6,7 +6,6 @@ an executor later costs a re-read, not a re-run of the whole chain.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -15,25 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 from grantlens.sources.readers import read_parquet
 from grantlens.sources.writers import write_parquet
 
+WAREHOUSE = "spark.grantlens.warehouse"
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The cluster's shared folder, or a fresh local one in local mode.
+def shared_folder(spark: SparkSession) -> str:
+    """Where this session stores its tables: a folder that all executors see.
 
-    On a cluster that names none the answer is None: executors could not see
-    each other's files.
+    Named by spark.grantlens.warehouse, or else below spark.checkpoint.dir.
+    Behaves alike on every master: without either setting it is an error.
     """
-    named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(
-        CHECKPOINT_DIR, None
-    )
-    if named:
-        return f"{named.rstrip('/')}/grantlens/{spark.sparkContext.applicationId}"
-    master = spark.sparkContext.master
-    if master == "local" or master.startswith("local["):
-        folder = tempfile.mkdtemp(prefix="grantlens-")
-        return f"file:{folder}"
-    return None
+    for key in (WAREHOUSE, CHECKPOINT_DIR):
+        named = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key, None)
+        if named:
+            return f"{named.rstrip('/')}/grantlens/{spark.sparkContext.applicationId}"
+    raise RuntimeError(f"set {WAREHOUSE} or {CHECKPOINT_DIR} to a folder that all executors share")
 
 
 @dataclass(frozen=True)
@@ -48,27 +43,22 @@ class TableSpec:
 
 
 class TableStore:
-    """Named tables, each computed and written on first use.
+    """Named tables, each computed and written below `folder` on first use."""
 
-    Without a folder every table stays a lazy plan.
-    """
-
-    def __init__(self, spark: SparkSession, folder: str | None, specs: dict[str, TableSpec]):
+    def __init__(self, spark: SparkSession, folder: str, specs: dict[str, TableSpec]):
         self.spark = spark
-        self.folder = folder
+        self.folder = folder.rstrip("/")
         self.specs = specs
         self._tables: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
-        if self.folder is None:
-            raise RuntimeError(f"writing {name} needs a shared folder: set {CHECKPOINT_DIR}")
         return f"{self.folder}/{name}"
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             spec = self.specs[name]
             df = spec.build(self)
-            if self.folder is not None and spec.stored:
+            if spec.stored:
                 write_parquet(df, self.path(name), spec.partition_by, list(spec.sort_by))
                 df = read_parquet(self.spark, self.path(name), df.schema)
             self._tables[name] = df

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from grantlens.operators.rows import keep_one, whole_row_order
+
 
 def write_parquet(
     df: DataFrame,
@@ -55,7 +57,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def rows_to_seed(seed: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """Seed rows whose key is not in the table yet; append these."""
+    """Seed rows whose key is not in the table yet, each key once; append these."""
+    seed = keep_one(seed, [key], whole_row_order(seed))
     return seed.join(existing.select(key).distinct(), key, "left_anti")
 
 

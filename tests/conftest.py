@@ -11,11 +11,12 @@ from grantlens.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("shared")
     session = build_session(
         "grantlens-tests",
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "6g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "6g", "spark.checkpoint.dir": f"file:{folder}"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -435,3 +435,27 @@ def test_views_are_registered(spark):
     assert len(names) == 9
     assert spark.sql("SELECT count(*) AS n FROM v_rescinded_opportunities").collect()[0].n == 1
     assert spark.table("v_awards_with_quality").filter(F.col("pop_status") == "unknown").count() == 1
+
+
+def test_snapshot_diff_sees_every_change_of_an_amount(spark):
+    old = opportunities(spark, {"opportunity_id": "1", "award_ceiling": 5.0}, {"opportunity_id": "2", "award_ceiling": 1e17},
+                        {"opportunity_id": "3", "award_ceiling": 7.5})
+    new = opportunities(spark, {"opportunity_id": "1", "award_ceiling": 5.001}, {"opportunity_id": "2", "award_ceiling": 2e300},
+                        {"opportunity_id": "3", "award_ceiling": 7.5})
+    rows = records(changes.diff_snapshots(old, new, 2), "opportunity_id", "old_value", "new_value")
+    assert rows == [("1", "5.00", "5.001"), ("2", "100000000000000000.00", "2.0E300")]
+
+
+def test_a_loss_just_beyond_the_threshold_counts(spark):
+    rows = transactions(spark, {"award_unique_key": "A", "action_date": day("2025-06-01"), "federal_action_obligation": -100000.004})
+    known = awards(spark, {"award_unique_key": "A", "award_id_fain": "F"})
+    assert baselines.untracked_disruption(rows, known, terminations(spark)).count() == 1
+
+
+def test_dates_and_amounts_must_be_written_in_full(spark):
+    frame_ = spark.createDataFrame([("2025",), ("2025-04",), ("04/18/2025",), ("5d",), (" 2025-04-18 ",), ("1e3",), ("-.5",)], "t string")
+    got = frame_.select(silver.text_date(F.col("t")).alias("d"), silver.text_amount(F.col("t")).alias("n")).collect()
+    assert [r.d for r in got] == [None] * 4 + [day("2025-04-18"), None, None]
+    assert [r.n for r in got] == [2025.0, None, None, None, None, 1000.0, -0.5]
+    us = frame_.select(silver.text_date(F.col("t"), ("yyyy-MM-dd", "MM/dd/yyyy")).alias("d")).collect()
+    assert us[2].d == us[4].d == day("2025-04-18")

@@ -38,13 +38,18 @@ def test_load_from_csv(spark, tmp_path):
             {"OpportunityID": "2", "AgencyCode": "DOE"},
         ],
     )
+    (tmp_path / "y3").mkdir()
+    (tmp_path / "y3" / "late.csv").write_text(
+        "award_id_fain,assistance_transaction_unique_key,federal_action_obligation\nF1,9,oops\nF1,8\n"
+    )
+    years.append(f"file:{tmp_path}/y3")
     cut = csv("t", schemas.TERMINATIONS, [{"grant_id": "F1", "abstract": "a\nb"}, {"grant_id": "F9"}])
     store = tables.load(
         spark,
         f"file:{tmp_path}/warehouse",
-        lambda spark: bronze.scan_usaspending(spark, years).rows,
-        lambda spark: bronze.scan_grants(spark, offers).rows,
-        lambda spark: bronze.scan_terminations(spark, cut).rows,
+        lambda spark: bronze.scan_usaspending(spark, years),
+        lambda spark: bronze.scan_grants(spark, offers),
+        lambda spark: bronze.scan_terminations(spark, cut),
     )
     sizes = {name: store.table(name).count() for name in tables.SILVER}
     assert sizes == {
@@ -61,3 +66,7 @@ def test_load_from_csv(spark, tmp_path):
         (day("2025-11-01"), "GEO", -2.0),
     ]
     assert records(store.table("terminations"), "award_id_fain") == [("F1",), (None,)]
+    lost = {(r.stage, r.counter): r.n for r in tables.load_counters(store).collect()}
+    assert lost["usaspending", "rejected rows"] == 1 and lost["usaspending", "unreadable fields"] == 1
+    assert lost["grants", "rejected rows"] == 0 and lost["transactions", "dropped"] == 3
+    assert records(store.table("unreadable_usaspending"), "field", "value") == [("federal_action_obligation", "oops")]
