@@ -53,10 +53,10 @@ USASPENDING = {
     ),
     "recipient_zip_code": f"lpad({text('l_partkey % 100000')}, 5, '0')",
     "cfda_number": (
-        "CASE l_orderkey % 12 WHEN 0 THEN '47.041' WHEN 1 THEN '47.049' WHEN 2 THEN '47.050' "
+        "CASE WHEN l_orderkey % 61 = 0 THEN NULL ELSE CASE l_orderkey % 12 WHEN 0 THEN '47.041' WHEN 1 THEN '47.049' WHEN 2 THEN '47.050' "
         "WHEN 3 THEN '47.070' WHEN 4 THEN '47.074' WHEN 5 THEN '47.075' WHEN 6 THEN '47.076' "
         "WHEN 7 THEN '47.078' WHEN 8 THEN '47.079' WHEN 9 THEN '47.083' WHEN 10 THEN '47.084' "
-        "ELSE '47.999' END"
+        "ELSE '47.999' END END"
     ),
     "cfda_title": f"CASE WHEN l_orderkey % 9 = 0 THEN NULL ELSE 'Title ' || {text('l_orderkey % 12')} END",
     "action_date": "CAST(l_shipdate + INTERVAL '300' MONTH AS DATE)",
@@ -98,7 +98,8 @@ TERMINATIONS = {
     ),
     "status": "CASE WHEN o_orderkey % 3 = 0 THEN 'Reinstated' ELSE 'Terminated' END",
     "termination_date": (
-        "CASE WHEN o_orderkey % 101 = 0 THEN 'unknown' "
+        "CASE WHEN o_orderkey % 101 = 0 THEN 'unknown' WHEN o_orderkey % 103 = 0 THEN '2025' "
+        "WHEN o_orderkey % 107 = 0 THEN '2025-04' WHEN o_orderkey % 109 = 0 THEN '04/18/2025' "
         f"ELSE {text('DATE ' + chr(39) + '2025-04-18' + chr(39) + ' + CAST(o_orderkey % 300 AS INT)')} END"
     ),
     "reinstated": (
@@ -117,7 +118,8 @@ TERMINATIONS = {
         "CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'FALSE' ELSE 'true' END"
     ),
     "post_termination_deobligation": (
-        f"CASE WHEN o_orderkey % 43 = 0 THEN 'n/a' ELSE {text(cents('-o_totalprice / 4'))} END"
+        "CASE WHEN o_orderkey % 43 = 0 THEN 'n/a' WHEN o_orderkey % 47 = 0 THEN '5d' "
+        f"ELSE {text(cents('-o_totalprice / 4'))} END"
     ),
     "nsf_total_budget": text(cents("o_totalprice")),
     "estimated_remaining": text(cents("o_totalprice / 2")),

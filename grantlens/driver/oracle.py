@@ -60,6 +60,15 @@ def pct(part: str, whole: str) -> str:
     return f"(100.0::DOUBLE * {part} / nullif({whole}, 0))"
 
 
+def iso_date(text: str) -> str:
+    return f"if(regexp_full_match(trim({text}), '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}'), TRY_CAST({text} AS DATE), NULL)"
+
+
+def number(text: str) -> str:
+    shape = "\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*"
+    return f"if(regexp_full_match({text}, '{shape}'), TRY_CAST({text} AS DOUBLE), NULL)"
+
+
 PERIOD_STATUS = f"""CASE
     WHEN period_of_perf_end IS NULL THEN 'unknown'
     WHEN period_of_perf_start > {AS_OF} THEN 'not_yet_started'
@@ -152,12 +161,12 @@ CTES: dict[str, str] = {
     "opportunities": (
         "SELECT OpportunityID AS opportunity_id, 1 AS agency_id, "
         "OpportunityNumber AS opportunity_number, OpportunityTitle AS title, "
-        "CFDANumbers AS cfda_numbers, TRY_CAST(PostDate AS DATE) AS post_date, "
-        "TRY_CAST(CloseDate AS DATE) AS close_date, "
-        "TRY_CAST(ArchiveDate AS DATE) AS archive_date, "
-        "TRY_CAST(EstimatedTotalProgramFunding AS DOUBLE) AS estimated_total_funding, "
-        "TRY_CAST(AwardCeiling AS DOUBLE) AS award_ceiling, "
-        "TRY_CAST(AwardFloor AS DOUBLE) AS award_floor, Description AS description, is_active, "
+        f"CFDANumbers AS cfda_numbers, {iso_date('PostDate')} AS post_date, "
+        f"{iso_date('CloseDate')} AS close_date, "
+        f"{iso_date('ArchiveDate')} AS archive_date, "
+        f"{number('EstimatedTotalProgramFunding')} AS estimated_total_funding, "
+        f"{number('AwardCeiling')} AS award_ceiling, "
+        f"{number('AwardFloor')} AS award_floor, Description AS description, is_active, "
         "CAST(NULL AS INTEGER) AS first_seen_snapshot_id, "
         "CAST(NULL AS INTEGER) AS last_seen_snapshot_id "
         "FROM grants WHERE OpportunityID IS NOT NULL "
@@ -187,8 +196,9 @@ CTES: dict[str, str] = {
         "FROM award_groups WHERE award_id_fain IS NOT NULL"
     ),
     "awards": (
-        "SELECT * FROM award_rollup WHERE recipient_uei IN (SELECT recipient_uei FROM recipients) "
-        "QUALIFY row_number() OVER (PARTITION BY award_id_fain ORDER BY award_unique_key) = 1"
+        "SELECT * FROM (SELECT * FROM award_rollup QUALIFY row_number() OVER "
+        "(PARTITION BY award_id_fain ORDER BY award_unique_key) = 1) AS firsts "
+        "WHERE recipient_uei IN (SELECT recipient_uei FROM recipients)"
     ),
     "transaction_rows": (
         "SELECT assistance_transaction_unique_key AS transaction_unique_key, "
@@ -206,12 +216,12 @@ CTES: dict[str, str] = {
     ),
     "termination_rows": (
         "SELECT grant_id AS award_id_fain, project_title, status AS current_status, "
-        "TRY_CAST(termination_date AS DATE) AS latest_termination_date, "
+        f"{iso_date('termination_date')} AS latest_termination_date, "
         "TRY_CAST(reinstated AS BOOLEAN) AS reinstated, "
-        "TRY_CAST(reinstatement_date AS DATE) AS reinstatement_date, "
-        "TRY_CAST(post_termination_deobligation AS DOUBLE) AS post_termination_deobligation, "
-        "TRY_CAST(nsf_total_budget AS DOUBLE) AS nsf_total_budget, "
-        "TRY_CAST(estimated_remaining AS DOUBLE) AS estimated_remaining, "
+        f"{iso_date('reinstatement_date')} AS reinstatement_date, "
+        f"{number('post_termination_deobligation')} AS post_termination_deobligation, "
+        f"{number('nsf_total_budget')} AS nsf_total_budget, "
+        f"{number('estimated_remaining')} AS estimated_remaining, "
         "directorate, division, nsf_program_name, abstract, is_active FROM tracker"
     ),
     "terminations": (
@@ -311,7 +321,7 @@ CTES: dict[str, str] = {
         "FROM transactions AS x JOIN awards AS a USING (award_unique_key) "
         f"WHERE x.action_date > {FREEZE} AND NOT EXISTS (SELECT 1 FROM terminations AS t "
         "WHERE t.award_id_fain = a.award_id_fain) GROUP BY 1, 2, 3, 4 "
-        f"HAVING {cents('sum(x.federal_action_obligation)')} < -100000"
+        "HAVING sum(CAST(x.federal_action_obligation AS DECIMAL(28,6))) < -100000"
     ),
 }
 

@@ -25,7 +25,7 @@ from grantlens.functions import classify, flags, text
 from grantlens.functions.numbers import count_where, money, percent, row_count, sum_where
 from grantlens.operators import joins, quality
 from grantlens.operators.rows import in_window, keep_one, whole_row_order, with_surrogate_key
-from grantlens.plans import changes, dashboard, institutions, silver, views
+from grantlens.plans import bronze, changes, dashboard, institutions, silver, tables, views
 from grantlens.sources import readers, schemas, writers
 from grantlens.sources.store import TableStore
 
@@ -56,16 +56,23 @@ def src1(s: TableStore) -> DataFrame:
     return readers.read_csv_groups(s.spark, [older, newer], schemas.USASPENDING, False).rows
 
 
+SIGNED = adapter.USASPENDING["federal_action_obligation"]
+
+
 @query(
     "src2_csv_quarantine",
-    """
+    f"""
     SELECT 'T-' || l_orderkey || '-' || l_linenumber AS assistance_transaction_unique_key,
-           CASE WHEN l_partkey % 17 = 0 OR l_partkey % 19 = 0 THEN 'rejected' ELSE 'kept' END AS verdict
+           CASE WHEN l_partkey % 19 = 0 THEN 'rejected' ELSE 'kept' END AS verdict,
+           if(l_partkey % 17 = 0 OR l_partkey % 19 = 0, NULL, {SIGNED}) AS amount
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
     """,
 )
 def src2(s: TableStore) -> DataFrame:
-    """Rows with one field too many, or an unreadable amount, are set aside."""
+    """Rows with one field too many are set aside; an unreadable amount is only that.
+
+    A folder with two column orders, grouped by the files' headers.
+    """
     raw = s.table("raw_usaspending")
     zip_code = F.col("recipient_zip_code").cast("int")
     dirty = raw.select(
@@ -78,12 +85,15 @@ def src2(s: TableStore) -> DataFrame:
     )
     path = s.path("csv/dirty")
     # No quote character: a comma inside a field splits it.
-    dirty.write.mode("overwrite").option("header", True).option("quote", "\0").csv(path)
-    scan = readers.read_csv_checked(s.spark, path, schemas.USASPENDING, multi_line=False)
+    swapped = [dirty.columns[k] for k in (0, 2, 1, 3)]
+    for mode, columns, rest in (("overwrite", dirty.columns, 0), ("append", swapped, 1)):
+        part = dirty.filter(F.crc32("assistance_transaction_unique_key") % 2 == rest).select(*columns)
+        part.write.mode(mode).option("header", True).option("quote", "\0").csv(path)
+    scan = bronze.scan_usaspending(s.spark, [path])
     key = "assistance_transaction_unique_key"
-    return scan.rows.select(key, F.lit("kept").alias("verdict")).union(
-        scan.quarantine.select(key, F.lit("rejected"))
-    )
+    return scan.rows.select(
+        key, F.lit("kept").alias("verdict"), F.col("federal_action_obligation").alias("amount")
+    ).union(scan.quarantine.select(key, F.lit("rejected"), F.lit(None).cast("double")))
 
 
 @query(
@@ -222,10 +232,19 @@ def snk6(s: TableStore) -> DataFrame:
     FROM terminations AS t JOIN awards AS a USING (award_id_fain)
     UNION ALL SELECT 'v_rescinded_opportunities', count(*) FROM old_pull
     WHERE opportunity_id NOT IN (SELECT opportunity_id FROM new_pull)
+    UNION ALL SELECT 'v_disruption_by_directorate', count(*) FROM (
+        SELECT DISTINCT coalesce(a.awarding_sub_agency_name, t.directorate)
+        FROM terminations AS t LEFT JOIN awards AS a USING (award_id_fain))
+    UNION ALL SELECT 'v_monthly_obligations', count(*) FROM (
+        SELECT DISTINCT date_trunc('month', action_date), awarding_sub_agency_name FROM transactions
+        WHERE action_date IS NOT NULL)
+    UNION ALL SELECT 'v_directorate_resilience', count(*) FROM (
+        SELECT DISTINCT awarding_sub_agency_name FROM transactions WHERE action_type_description = 'NEW'
+        AND action_date BETWEEN DATE '2024-10-01' AND DATE '2025-03-31')
     """,
 )
 def snk7(s: TableStore) -> DataFrame:
-    views.register_views(
+    names = views.register_views(
         s.table("opportunities"),
         s.table("awards"),
         s.table("transactions"),
@@ -234,14 +253,6 @@ def snk7(s: TableStore) -> DataFrame:
         s.table("change_log"),
         CFG,
     )
-    names = [
-        "v_active_funding",
-        "v_awards_with_quality",
-        "v_currently_open_opportunities",
-        "v_disbursement_progress",
-        "v_disruption_by_recipient",
-        "v_rescinded_opportunities",
-    ]
     return s.spark.sql(
         " UNION ALL ".join(f"SELECT '{n}' AS view_name, count(*) AS n FROM {n}" for n in names)
     )
@@ -291,6 +302,8 @@ def snk8(s: TableStore) -> DataFrame:
     UNION ALL SELECT 'terminations', 'matched', count(award_id_fain) FROM terminations
     UNION ALL SELECT 'transactions', 'dropped',
         (SELECT count(*) FROM transaction_rows) - (SELECT count(*) FROM transactions)
+    UNION ALL SELECT 'awards', 'dropped',
+        (SELECT count(DISTINCT assistance_award_unique_key) FROM usaspending) - (SELECT count(*) FROM awards)
     """,
 )
 def snk9(s: TableStore) -> DataFrame:
@@ -301,13 +314,7 @@ def snk9(s: TableStore) -> DataFrame:
     ]
     matched = F.col("award_id_fain").isNotNull()
     parts.append(quality.stage_counters("terminations", s.table("terminations"), matched=matched))
-    offered = silver.transaction_rows(s.table("usaspending")).select(F.lit(1).alias("n"))
-    kept = s.table("transactions").select(F.lit(-1).alias("n"))
-    dropped = offered.union(kept).agg(F.sum("n").alias("n"))
-    parts.append(
-        dropped.select(F.lit("transactions").alias("stage"), F.lit("dropped").alias("counter"), "n")
-    )
-    return reduce(DataFrame.union, parts)
+    return reduce(DataFrame.union, [*parts, tables.dropped_counters(s)])
 
 
 # -- projections ---------------------------------------------------------------
@@ -470,19 +477,12 @@ def fil9(s: TableStore) -> DataFrame:
 @query(
     "fil11_name_search",
     """
-    SELECT display_name, state_code, n_variants FROM choices
-    WHERE contains(lower(display_name), 'institute')
+    SELECT ueis FROM choices WHERE contains(lower(display_name), 'institute')
     ORDER BY display_name, canonical_name, state_code LIMIT 25
     """,
 )
 def fil11(s: TableStore) -> DataFrame:
-    return (
-        s.table("choices")
-        .filter(F.lower("display_name").contains("institute"))
-        .orderBy("display_name", "canonical_name", "state_code")
-        .select("display_name", "state_code", "n_variants")
-        .limit(CFG.search_limit)
-    )
+    return institutions.institution_search(s.table("choices"), "INSTITUTE", cfg=CFG).select("ueis")
 
 
 # -- classification and flags --------------------------------------------------
@@ -502,12 +502,15 @@ def cls1(s: TableStore) -> DataFrame:
 
 @query(
     "cls2_topic_of_title",
-    f"SELECT p_partkey, {topic('p_name')} AS name_topic, {topic('p_type')} AS type_topic FROM part",
+    f"""
+    SELECT p_partkey, record_type, {topic('p_name')} AS name_topic, {topic('p_type')} AS type_topic
+    FROM raw_grants JOIN part ON CAST(OpportunityID AS BIGINT) = p_partkey
+    """,
 )
 def cls2(s: TableStore) -> DataFrame:
-    raw = s.table("raw_grants").filter(F.col("record_type") != "forecast")
-    return raw.select(
+    return s.table("raw_grants").select(
         F.col("OpportunityID").cast("long").alias("p_partkey"),
+        "record_type",
         classify.topic_of(F.col("OpportunityTitle")).alias("name_topic"),
         classify.topic_of(F.split_part("Description", F.lit(","), F.lit(1))).alias("type_topic"),
     )
@@ -658,14 +661,22 @@ def flg9(s: TableStore) -> DataFrame:
 @query(
     "jn1_changes_with_opportunities",
     """
-    SELECT opportunity_id, title FROM opportunities
-    WHERE opportunity_id IN (SELECT opportunity_id FROM new_pull)
-      AND opportunity_id NOT IN (SELECT opportunity_id FROM old_pull)
+    , changed AS (
+        SELECT coalesce(a.opportunity_id, b.opportunity_id) AS opportunity_id,
+               CASE WHEN a.opportunity_id IS NULL OR b.opportunity_id IS NULL THEN 1 ELSE
+                 CAST(a.title IS DISTINCT FROM b.title AS INTEGER)
+                 + CAST(a.close_date IS DISTINCT FROM b.close_date AS INTEGER)
+                 + CAST(a.estimated_total_funding IS DISTINCT FROM b.estimated_total_funding AS INTEGER)
+               END AS n
+        FROM old_pull AS a FULL JOIN new_pull AS b ON a.opportunity_id = b.opportunity_id
+    )
+    SELECT opportunity_id, title, CAST(n AS BIGINT) AS n
+    FROM changed JOIN opportunities USING (opportunity_id) WHERE n > 0
     """,
 )
 def jn1(s: TableStore) -> DataFrame:
-    added = s.table("change_log").filter(F.col("change_type") == "ADDED")
-    return added.join(s.table("opportunities"), "opportunity_id").select("opportunity_id", "title")
+    log = s.table("change_log").groupBy("opportunity_id").agg(F.count("*").alias("n"))
+    return log.join(s.table("opportunities"), "opportunity_id").select("opportunity_id", "title", "n")
 
 
 @query(
@@ -721,13 +732,12 @@ def jn4(s: TableStore) -> DataFrame:
 
 @query(
     "jn6_academic_transactions",
-    "SELECT transaction_unique_key, recipient_uei FROM academic_tx WHERE action_type_description = 'NEW'",
+    "SELECT transaction_unique_key, recipient_uei FROM academic_tx",
 )
 def jn6(s: TableStore) -> DataFrame:
     academic_keys = dashboard.academic_ueis(s.table("recipients"), CFG)
     return (
         s.table("transactions")
-        .filter(F.col("action_type_description") == "NEW")
         .join(academic_keys, "recipient_uei", "left_semi")
         .select("transaction_unique_key", "recipient_uei")
     )
@@ -790,11 +800,7 @@ def jn14(s: TableStore) -> DataFrame:
     """Awards against a recipient table that lacks the inactive recipients."""
     awards = s.table("awards").select("award_unique_key", "recipient_uei")
     known = s.table("usaspending").filter(RECENT)
-    kept = joins.keep_known(awards, "recipient_uei", known)
-    dropped = joins.keep_unknown(awards, "recipient_uei", known)
-    return kept.select("award_unique_key", F.lit(True).alias("kept")).union(
-        dropped.select("award_unique_key", F.lit(False))
-    )
+    return joins.flag_known(awards, "recipient_uei", known, "kept").drop("recipient_uei")
 
 
 @query(
@@ -809,12 +815,7 @@ def jn15(s: TableStore) -> DataFrame:
     rows = silver.transaction_rows(s.table("usaspending")).select(
         "transaction_unique_key", "award_unique_key"
     )
-    awards = s.table("awards")
-    kept = joins.keep_known(rows, "award_unique_key", awards, unique=True)
-    dropped = joins.keep_unknown(rows, "award_unique_key", awards, unique=True)
-    return kept.select(*rows.columns, F.lit(True).alias("kept")).unionByName(
-        dropped.select(*rows.columns, F.lit(False).alias("kept"))
-    )
+    return joins.flag_known(rows, "award_unique_key", s.table("awards"), "kept", unique=True)
 
 
 @query(
@@ -918,18 +919,8 @@ def ag10(s: TableStore) -> DataFrame:
     """,
 )
 def ag11(s: TableStore) -> DataFrame:
-    """Exact distinct counts in two steps, each reduced ahead of its shuffle.
-
-    A code with a large share of all rows is spread over its distinct keys.
-    """
-    rows = s.table("transactions")
-
-    def distinct_per_code(key: str, name: str) -> DataFrame:
-        keys = rows.select("cfda_number", key).distinct()
-        return keys.groupBy("cfda_number").agg(F.count(key).alias(name))
-
-    return distinct_per_code("award_unique_key", "n_awards").join(
-        distinct_per_code("recipient_uei", "n_recipients"), "cfda_number"
+    return joins.distinct_counts(
+        s.table("transactions"), "cfda_number", n_awards="award_unique_key", n_recipients="recipient_uei"
     )
 
 
@@ -965,14 +956,7 @@ def ag22(s: TableStore) -> DataFrame:
     "SELECT opportunity_id, title, is_active FROM opportunities",
 )
 def w1(s: TableStore) -> DataFrame:
-    grants = s.table("grants")
-    synopsis_last = F.when(F.lower("record_type").contains("synopsis"), 0).otherwise(1)
-    order = [synopsis_last, F.col("LastUpdatedDate").desc_nulls_last(), *whole_row_order(grants)]
-    return keep_one(grants, ["OpportunityID"], order).select(
-        F.col("OpportunityID").alias("opportunity_id"),
-        F.col("OpportunityTitle").alias("title"),
-        "is_active",
-    )
+    return silver.opportunities(s.table("grants"), CFG).select("opportunity_id", "title", "is_active")
 
 
 @query(
@@ -1098,9 +1082,9 @@ def fn_strict(s: TableStore) -> DataFrame:
 def fn_casts(s: TableStore) -> DataFrame:
     return s.table("raw_grants").select(
         "OpportunityID",
-        F.col("CloseDate").try_cast("date").alias("close_date"),
-        F.col("EstimatedTotalProgramFunding").try_cast("double").alias("funding"),
-        F.col("AwardFloor").try_cast("double").alias("award_floor"),
+        silver.text_date(F.col("CloseDate")).alias("close_date"),
+        silver.text_amount(F.col("EstimatedTotalProgramFunding")).alias("funding"),
+        silver.text_amount(F.col("AwardFloor")).alias("award_floor"),
     )
 
 

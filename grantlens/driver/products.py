@@ -616,6 +616,7 @@ def x2(s: TableStore) -> DataFrame:
                CAST(CAST(b.estimated_total_funding AS DECIMAL(18,2)) AS VARCHAR) AS f2
         FROM old_pull AS a FULL JOIN new_pull AS b ON a.opportunity_id = b.opportunity_id
     )
+    , changed AS (
     SELECT opportunity_id, if(fresh, 'ADDED', 'REMOVED') AS change_type, NULL::VARCHAR AS field_changed,
            NULL::VARCHAR AS old_value, NULL::VARCHAR AS new_value FROM pairs WHERE fresh OR gone
     UNION ALL SELECT opportunity_id, 'MODIFIED', 'title', t1, t2 FROM pairs
@@ -624,6 +625,9 @@ def x2(s: TableStore) -> DataFrame:
     WHERE NOT fresh AND NOT gone AND c1 IS DISTINCT FROM c2
     UNION ALL SELECT opportunity_id, 'MODIFIED', 'estimated_total_funding', f1, f2 FROM pairs
     WHERE NOT fresh AND NOT gone AND f1 IS DISTINCT FROM f2
+    )
+    SELECT c.*, CAST(2 AS INTEGER) AS snapshot_id, '2026-04-06 00:00:00' AS snapshot_date,
+           '2026-04-06 00:00:00' AS detected_at FROM changed AS c
     """,
 )
 def x3(s: TableStore) -> DataFrame:
@@ -631,7 +635,8 @@ def x3(s: TableStore) -> DataFrame:
     changed = changes.diff_snapshots(
         adapter.old_snapshot(opportunities), adapter.new_snapshot(opportunities), 2, CFG
     )
-    return changed.drop("snapshot_id", "snapshot_date", "detected_at")
+    times = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("snapshot_date", "detected_at")}
+    return changed.withColumns(times)
 
 
 @query(
@@ -670,15 +675,17 @@ def x5(s: TableStore) -> DataFrame:
 @query(
     "x6_snapshot_register",
     """
-    SELECT 1 AS snapshot_id, 'grants.gov' AS source, count(*) AS record_count, 'first pull' AS notes
-    FROM old_pull UNION ALL SELECT 2, 'grants.gov', count(*), NULL FROM new_pull
+    SELECT 1 AS snapshot_id, '2026-04-06 00:00:00' AS snapshot_date, 'grants.gov' AS source,
+           count(*) AS record_count, 'first pull' AS notes FROM old_pull
+    UNION ALL SELECT 2, '2026-04-06 00:00:00', 'grants.gov', count(*), NULL FROM new_pull
     """,
 )
 def x6(s: TableStore) -> DataFrame:
     opportunities = s.table("opportunities")
     first = changes.snapshot_entry(adapter.old_snapshot(opportunities), 1, "first pull", CFG)
     second = changes.snapshot_entry(adapter.new_snapshot(opportunities), 2, None, CFG)
-    return first.unionByName(second).drop("snapshot_date")
+    register = first.unionByName(second)
+    return register.withColumn("snapshot_date", F.date_format("snapshot_date", "yyyy-MM-dd HH:mm:ss"))
 
 
 # -- shared inputs -------------------------------------------------------------

@@ -28,6 +28,24 @@ def keep_unknown(df: DataFrame, key: str, known: DataFrame, unique: bool = False
     return df.join(key_set(known, key, unique=unique), key, "left_anti")
 
 
+def flag_known(
+    df: DataFrame, key: str, known: DataFrame, flag: str, unique: bool = False
+) -> DataFrame:
+    """Boolean column: does the row's key occur in `known`? A NULL key does not."""
+    keys = key_set(known, key, "_known", unique)
+    joined = df.join(keys, F.col(key) == F.col("_known"), "left")
+    return joined.withColumn(flag, F.col("_known").isNotNull()).drop("_known")
+
+
+def distinct_counts(df: DataFrame, by: str, **keys: str) -> DataFrame:
+    """Exact number of distinct non-NULL values per group, all keys in one scan.
+
+    Rows without a group form one of their own. Values are reduced per task and
+    spread by value before they are counted, so a large group is no hot key.
+    """
+    return df.groupBy(by).agg(*[F.count_distinct(key).alias(name) for name, key in keys.items()])
+
+
 def null_unmatched(df: DataFrame, key: str, known: DataFrame, unique: bool = False) -> DataFrame:
     """Keep every row, but set keys that do not occur in `known` to NULL."""
     keys = key_set(known, key, "_known", unique)

@@ -112,8 +112,9 @@ def untracked_disruption(
         )
     lost = (
         after.groupBy("award_unique_key")
-        .agg(money(F.sum("federal_action_obligation")).alias("net_after_freeze"))
-        .filter(F.col("net_after_freeze") < cfg.untracked_threshold)
+        .agg(F.sum(F.col("federal_action_obligation").cast("decimal(28,6)")).alias("net"))
+        .filter(F.col("net") < cfg.untracked_threshold)
+        .select("award_unique_key", money(F.col("net")).alias("net_after_freeze"))
     )
     described = awards.select(
         "award_unique_key",

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from grantlens.config import DEFAULT_CONFIG, StudyConfig
 from grantlens.functions.numbers import row_count
 from grantlens.operators.rows import with_surrogate_key
-from grantlens.plans.silver import MONEY_TYPE, load_time
+from grantlens.plans.silver import load_time
 
 ADDED, REMOVED, MODIFIED = "ADDED", "REMOVED", "MODIFIED"
 
@@ -28,10 +28,12 @@ TRACKED_FIELDS = [
 ]
 
 
-def _as_text(df: DataFrame, name: str) -> Column:
-    if isinstance(df.schema[name].dataType, T.DoubleType):
-        return F.col(name).cast(MONEY_TYPE).cast("string")
-    return F.col(name).cast("string")
+def _as_text(value: Column, kind: T.DataType) -> Column:
+    """Amounts with cents if that is all they have, in full otherwise."""
+    if not isinstance(kind, T.DoubleType):
+        return value.cast("string")
+    cents = value.try_cast("decimal(38,2)")
+    return F.when(cents.cast("double") == value, cents.cast("string")).otherwise(value.cast("string"))
 
 
 def diff_snapshots(
@@ -42,13 +44,15 @@ def diff_snapshots(
 ) -> DataFrame:
     """Changes from one de-duplicated snapshot to the next.
 
-    One row per added or removed opportunity and one per changed field. NULL
+    Values are compared as they are; only the reported ones are text. One row per added or removed opportunity and one per changed field. NULL
     against NULL is no change, NULL against a value is one.
     """
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        fields = [_as_text(df, f).alias(f) for f in TRACKED_FIELDS]
-        return df.select("opportunity_id", F.struct(*fields).alias(name))
+        return df.select("opportunity_id", F.struct(*TRACKED_FIELDS).alias(name))
+
+    def text(name: str, field: str) -> Column:
+        return _as_text(F.col(f"{name}.{field}"), old.schema[field].dataType)
 
     both = side(old, "_old").join(side(new, "_new"), "opportunity_id", "full_outer")
 
@@ -66,7 +70,7 @@ def diff_snapshots(
             *[
                 F.when(
                     ~F.col(f"_old.{f}").eqNullSafe(F.col(f"_new.{f}")),
-                    change(F.lit(MODIFIED), F.lit(f), F.col(f"_old.{f}"), F.col(f"_new.{f}")),
+                    change(F.lit(MODIFIED), F.lit(f), text("_old", f), text("_new", f)),
                 )
                 for f in TRACKED_FIELDS
             ]

@@ -66,12 +66,23 @@ def with_exact_money(table: DataFrame) -> DataFrame:
     return table.withColumns(amounts) if amounts else table
 
 
-def _text_date(name: str) -> Column:
-    return F.col(name).try_cast("date")
+# Whole-day formats that a feed's text dates may have, tried in order.
+DATE_FORMATS = ("yyyy-MM-dd",)
+AMOUNT_SHAPE = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
-def _text_amount(name: str) -> Column:
-    return F.col(name).try_cast("double")
+def text_date(column: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
+    """A date written in full in one of the formats; anything else is NULL.
+
+    A year or a month alone is no date: no day is made up for it.
+    """
+    trimmed = F.trim(column)
+    return F.coalesce(*[F.try_to_timestamp(trimmed, F.lit(f)).cast("date") for f in formats])
+
+
+def text_amount(column: Column) -> Column:
+    """A decimal number without suffixes; anything else is NULL."""
+    return F.when(column.rlike(AMOUNT_SHAPE), F.trim(column).try_cast("double"))
 
 
 def recipients(usaspending: DataFrame) -> DataFrame:
@@ -102,7 +113,11 @@ def recipients(usaspending: DataFrame) -> DataFrame:
     )
 
 
-def opportunities(grants: DataFrame, cfg: StudyConfig = DEFAULT_CONFIG) -> DataFrame:
+def opportunities(
+    grants: DataFrame,
+    cfg: StudyConfig = DEFAULT_CONFIG,
+    date_formats: tuple[str, ...] = DATE_FORMATS,
+) -> DataFrame:
     """One row per opportunity: a synopsis before a forecast, then the newest."""
     synopsis_last = ~F.coalesce(F.lower("record_type").contains("synopsis"), F.lit(False))
     order = [
@@ -117,12 +132,12 @@ def opportunities(grants: DataFrame, cfg: StudyConfig = DEFAULT_CONFIG) -> DataF
         F.col("OpportunityNumber").alias("opportunity_number"),
         F.col("OpportunityTitle").alias("title"),
         F.col("CFDANumbers").alias("cfda_numbers"),
-        _text_date("PostDate").alias("post_date"),
-        _text_date("CloseDate").alias("close_date"),
-        _text_date("ArchiveDate").alias("archive_date"),
-        _text_amount("EstimatedTotalProgramFunding").alias("estimated_total_funding"),
-        _text_amount("AwardCeiling").alias("award_ceiling"),
-        _text_amount("AwardFloor").alias("award_floor"),
+        text_date(F.col("PostDate"), date_formats).alias("post_date"),
+        text_date(F.col("CloseDate"), date_formats).alias("close_date"),
+        text_date(F.col("ArchiveDate"), date_formats).alias("archive_date"),
+        text_amount(F.col("EstimatedTotalProgramFunding")).alias("estimated_total_funding"),
+        text_amount(F.col("AwardCeiling")).alias("award_ceiling"),
+        text_amount(F.col("AwardFloor")).alias("award_floor"),
         F.col("Description").alias("description"),
         "is_active",
         F.lit(None).cast("int").alias("first_seen_snapshot_id"),
@@ -139,23 +154,32 @@ def award_rollup(usaspending: DataFrame, cfg: StudyConfig = DEFAULT_CONFIG) -> D
     """
     rows = usaspending.filter(
         F.col("assistance_award_unique_key").isNotNull() & flags.has_key(F.col("recipient_uei"))
+    ).withColumnRenamed("assistance_award_unique_key", "award_unique_key")
+    # Numbers and dates are reduced by hash within the few combinations of text
+    # attributes that an award has; only these are then sorted for their minima.
+    texts = ["award_id_fain", "recipient_uei", "cfda_number", "cfda_title"]
+    least = {"period_of_perf_start": "period_of_performance_start_date"}
+    most = {
+        "total_obligated_amount": "total_obligated_amount",
+        "total_outlayed_amount": "total_outlayed_amount_for_overall_award",
+        "period_of_perf_end": "period_of_performance_current_end_date",
+        "action_date": "action_date",
+    }
+    combined = rows.groupBy("award_unique_key", *texts).agg(
+        *[F.min(c).alias(n) for n, c in least.items()], *[F.max(c).alias(n) for n, c in most.items()]
+    )
+    described = (
+        rows.select("award_unique_key", "transaction_description").distinct()
+        .groupBy("award_unique_key").agg(F.min("transaction_description").alias("description"))
     )
-    end = F.max("period_of_performance_current_end_date")
     return (
-        rows.groupBy(F.col("assistance_award_unique_key").alias("award_unique_key"))
+        combined.groupBy("award_unique_key")
         .agg(
-            F.min("award_id_fain").alias("award_id_fain"),
-            F.min("recipient_uei").alias("recipient_uei"),
-            F.min("cfda_number").alias("cfda_number"),
-            F.min("cfda_title").alias("cfda_title"),
-            F.max("total_obligated_amount").alias("total_obligated_amount"),
-            F.max("total_outlayed_amount_for_overall_award").alias("total_outlayed_amount"),
-            F.min("period_of_performance_start_date").alias("period_of_perf_start"),
-            end.alias("period_of_perf_end"),
-            F.max("action_date").alias("action_date"),
-            F.min("transaction_description").alias("description"),
-            flags.period_active(end, cfg.as_of).alias("is_active"),
+            *[F.min(c).alias(c) for c in [*texts, *least]],
+            *[F.max(c).alias(c) for c in most],
         )
+        .join(described, "award_unique_key")
+        .withColumn("is_active", flags.period_active(F.col("period_of_perf_end"), cfg.as_of))
         .filter(F.col("award_id_fain").isNotNull())
         .select(
             "award_unique_key",
@@ -250,17 +274,19 @@ def transactions(
     ).withColumn("pulled_at", load_time(cfg))
 
 
-def termination_rows(tracker: DataFrame) -> DataFrame:
+def termination_rows(
+    tracker: DataFrame, date_formats: tuple[str, ...] = DATE_FORMATS
+) -> DataFrame:
     return tracker.select(
         F.col("grant_id").cast("string").alias("award_id_fain"),
         "project_title",
         F.col("status").alias("current_status"),
-        _text_date("termination_date").alias("latest_termination_date"),
+        text_date(F.col("termination_date"), date_formats).alias("latest_termination_date"),
         F.col("reinstated").try_cast("boolean").alias("reinstated"),
-        _text_date("reinstatement_date").alias("reinstatement_date"),
-        _text_amount("post_termination_deobligation").alias("post_termination_deobligation"),
-        _text_amount("nsf_total_budget").alias("nsf_total_budget"),
-        _text_amount("estimated_remaining").alias("estimated_remaining"),
+        text_date(F.col("reinstatement_date"), date_formats).alias("reinstatement_date"),
+        text_amount(F.col("post_termination_deobligation")).alias("post_termination_deobligation"),
+        text_amount(F.col("nsf_total_budget")).alias("nsf_total_budget"),
+        text_amount(F.col("estimated_remaining")).alias("estimated_remaining"),
         "directorate",
         "division",
         "nsf_program_name",
@@ -269,9 +295,11 @@ def termination_rows(tracker: DataFrame) -> DataFrame:
     )
 
 
-def terminations(tracker: DataFrame, awards: DataFrame) -> DataFrame:
+def terminations(
+    tracker: DataFrame, awards: DataFrame, date_formats: tuple[str, ...] = DATE_FORMATS
+) -> DataFrame:
     """One row per tracker row. FAINs of unknown awards become NULL."""
-    keyed = with_surrogate_key(termination_rows(tracker), "termination_id")
+    keyed = with_surrogate_key(termination_rows(tracker, date_formats), "termination_id")
     return null_unmatched(keyed, "award_id_fain", awards, unique=True).select(*keyed.columns)
 
 
