@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -18,30 +17,17 @@ STEP_BYTES = 4 << 20
 # Rows of a few numbers each that may be broadcast: some tens of megabytes.
 BROADCAST_ITEMS = 500_000
 
-_LOCAL: dict[str, str] = {}
-
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir.
-
-    Where that is unset, a local master gets a folder of its own; a cluster
-    must name one.
-    """
+    """The folder all executors share: spark.checkpoint.dir, or if unset, Spark's own warehouse."""
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(
         CHECKPOINT_DIR, None
     )
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL:
-        _LOCAL[app] = "file:" + tempfile.mkdtemp(prefix="llm-")
-    return _LOCAL[app]
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
