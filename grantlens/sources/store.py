@@ -21,14 +21,13 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """Where this session stores its tables: a folder that all executors see.
 
-    Named by spark.grantlens.warehouse, or else below spark.checkpoint.dir.
-    Behaves alike on every master: without either setting it is an error.
+    Named by spark.grantlens.warehouse, else spark.checkpoint.dir, else Spark's
+    own warehouse setting. Nothing depends on the kind of master.
     """
-    for key in (WAREHOUSE, CHECKPOINT_DIR):
-        named = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key, None)
-        if named:
-            return f"{named.rstrip('/')}/grantlens/{spark.sparkContext.applicationId}"
-    raise RuntimeError(f"set {WAREHOUSE} or {CHECKPOINT_DIR} to a folder that all executors share")
+    keys = (WAREHOUSE, CHECKPOINT_DIR, "spark.sql.warehouse.dir")
+    named = (spark.conf.get(k, None) or spark.sparkContext.getConf().get(k, None) for k in keys)
+    folder = next(f for f in named if f)
+    return f"{folder.rstrip('/')}/grantlens/{spark.sparkContext.applicationId}"
 
 
 @dataclass(frozen=True)

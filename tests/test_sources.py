@@ -166,14 +166,16 @@ def test_shared_folder_is_named_by_the_session(spark):
         spark.conf.unset("spark.grantlens.warehouse")
 
 
-def test_no_shared_folder_is_an_error():
-    class Unset:
+def test_spark_names_the_folder_where_nothing_else_does():
+    class Session:
         conf = sparkContext = property(lambda self: self)
+        applicationId = "app-1"
         getConf = lambda self: self
-        get = lambda self, key, default=None: default
 
-    with pytest.raises(RuntimeError, match="spark.grantlens.warehouse"):
-        shared_folder(Unset())
+        def get(self, key, default=None):
+            return "hdfs:///warehouse" if key == "spark.sql.warehouse.dir" else default
+
+    assert shared_folder(Session()) == "hdfs:///warehouse/grantlens/app-1"
 
 
 def test_seed_rows_that_repeat_a_key_count_once(spark):
