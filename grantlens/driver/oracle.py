@@ -319,7 +319,8 @@ CTES: dict[str, str] = {
         "a.awarding_sub_agency_name AS directorate, "
         f"{cents('sum(x.federal_action_obligation)')} AS net_after_freeze "
         "FROM transactions AS x JOIN awards AS a USING (award_unique_key) "
-        f"WHERE x.action_date > {FREEZE} AND NOT EXISTS (SELECT 1 FROM terminations AS t "
+        f"WHERE x.action_date > {FREEZE} "
+        "AND a.recipient_uei IN (SELECT recipient_uei FROM academic) AND NOT EXISTS (SELECT 1 FROM terminations AS t "
         "WHERE t.award_id_fain = a.award_id_fain) GROUP BY 1, 2, 3, 4 "
         "HAVING sum(CAST(x.federal_action_obligation AS DECIMAL(28,6))) < -100000"
     ),

@@ -601,7 +601,7 @@ def x1(s: TableStore) -> DataFrame:
 @query("x2_untracked_disruption", "SELECT * FROM untracked")
 def x2(s: TableStore) -> DataFrame:
     return baselines.untracked_disruption(
-        s.table("transactions"), s.table("awards"), s.table("terminations"), CFG
+        s.table("transactions"), s.table("awards"), s.table("terminations"), CFG, s.table("recipients")
     )
 
 
@@ -658,17 +658,24 @@ def x4(s: TableStore) -> DataFrame:
 
 @query(
     "x5_lifecycle_funnel",
-    """
+    f"""
+    , held AS (SELECT * FROM awards WHERE recipient_uei IN (SELECT recipient_uei FROM academic))
+    , exposed AS (
+        SELECT * FROM held WHERE {FREEZE} BETWEEN period_of_perf_start AND period_of_perf_end
+    )
     SELECT 1 AS position, 'posted' AS stage, count(*) AS n FROM opportunities
-    UNION ALL SELECT 2, 'obligated', count(*) FROM awards WHERE total_obligated_amount > 0
-    UNION ALL SELECT 3, 'terminated', count(*) FROM terminations
-    UNION ALL SELECT 4, 'reinstated', count(*) FROM terminations WHERE reinstated
-    UNION ALL SELECT 5, 'possibly untracked', count(*) FROM untracked
+    UNION ALL SELECT 2, 'obligated', count(*) FROM held WHERE total_obligated_amount > 0
+    UNION ALL SELECT 3, 'at risk', count(*) FROM exposed
+    UNION ALL SELECT 4, 'terminated', count(*) FROM terminations
+    WHERE award_id_fain IN (SELECT award_id_fain FROM exposed)
+    UNION ALL SELECT 5, 'reinstated', count(*) FROM terminations
+    WHERE reinstated AND award_id_fain IN (SELECT award_id_fain FROM exposed)
+    UNION ALL SELECT 6, 'possibly untracked', count(*) FROM untracked
     """,
 )
 def x5(s: TableStore) -> DataFrame:
     return baselines.lifecycle_funnel(
-        s.table("opportunities"), s.table("awards"), s.table("terminations"), x2(s)
+        s.table("opportunities"), s.table("awards"), s.table("terminations"), x2(s), s.table("recipients"), CFG
     )
 
 

@@ -17,11 +17,12 @@ from grantlens.functions.numbers import (
     percent_rounded,
     row_count,
 )
-from grantlens.operators.joins import key_set
+from grantlens.operators.joins import keep_known, key_set
 from grantlens.operators.rows import in_window
 from grantlens.plans.dashboard import (
     academic_recipients,
     academic_transactions,
+    academic_ueis,
     awards_at_risk,
     terminations_per_award,
 )
@@ -97,13 +98,26 @@ def same_month_baseline(
     )
 
 
+def academic_awards(
+    awards: DataFrame, recipients: DataFrame | None, cfg: StudyConfig = DEFAULT_CONFIG
+) -> DataFrame:
+    """Awards of academic recipients; all awards where no recipients are given."""
+    if recipients is None:
+        return awards
+    return awards.join(academic_ueis(recipients, cfg), "recipient_uei", "left_semi")
+
+
 def untracked_disruption(
     transactions: DataFrame,
     awards: DataFrame,
     terminations: DataFrame,
     cfg: StudyConfig = DEFAULT_CONFIG,
+    recipients: DataFrame | None = None,
 ) -> DataFrame:
-    """Awards that lost much money after the freeze but are not in the tracker."""
+    """Awards that lost much money after the freeze but are not in the tracker.
+
+    With `recipients`, only awards of the academic ones among them.
+    """
     after = transactions.filter(F.col("action_date") > F.lit(cfg.freeze_date))
     if "fiscal_year" in transactions.columns:
         day_after = cfg.freeze_date + dt.timedelta(days=1)
@@ -116,7 +130,7 @@ def untracked_disruption(
         .filter(F.col("net") < cfg.untracked_threshold)
         .select("award_unique_key", money(F.col("net")).alias("net_after_freeze"))
     )
-    described = awards.select(
+    described = academic_awards(awards, recipients, cfg).select(
         "award_unique_key",
         "award_id_fain",
         "recipient_uei",
@@ -160,17 +174,28 @@ def state_exposure(
 
 
 def lifecycle_funnel(
-    opportunities: DataFrame, awards: DataFrame, terminations: DataFrame, untracked: DataFrame
+    opportunities: DataFrame,
+    awards: DataFrame,
+    terminations: DataFrame,
+    untracked: DataFrame,
+    recipients: DataFrame | None = None,
+    cfg: StudyConfig = DEFAULT_CONFIG,
 ) -> DataFrame:
-    """Counts along the life of a grant, plus the untracked segment."""
-    tracked = terminations.agg(
+    """Counts along the life of a grant, plus the untracked segment.
+
+    Terminations count for awards live on the freeze date only. With
+    `recipients`, awards are those of the academic ones among them.
+    """
+    scope = academic_awards(awards, recipients, cfg)
+    exposed = awards_at_risk(scope, cfg)
+    tracked = keep_known(terminations, "award_id_fain", exposed, unique=True).agg(
         row_count().alias("n"), count_where(F.col("reinstated")).alias("back")
     ).select(
         F.inline(
             F.array(
-                F.struct(F.lit(3).alias("position"), F.lit("terminated").alias("stage"), "n"),
+                F.struct(F.lit(4).alias("position"), F.lit("terminated").alias("stage"), "n"),
                 F.struct(
-                    F.lit(4).alias("position"),
+                    F.lit(5).alias("position"),
                     F.lit("reinstated").alias("stage"),
                     F.col("back").alias("n"),
                 ),
@@ -183,11 +208,12 @@ def lifecycle_funnel(
             F.lit(position).alias("position"), F.lit(name).alias("stage"), "n"
         )
 
-    obligated = awards.filter(F.col("total_obligated_amount") > 0)
+    obligated = scope.filter(F.col("total_obligated_amount") > 0)
     parts = [
         stage(1, "posted", opportunities),
         stage(2, "obligated", obligated),
+        stage(3, "at risk", exposed),
         tracked,
-        stage(5, "possibly untracked", untracked),
+        stage(6, "possibly untracked", untracked),
     ]
     return reduce(DataFrame.union, parts).orderBy("position")

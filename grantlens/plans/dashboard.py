@@ -219,8 +219,7 @@ def phase_timeline(
     ).select(
         "month",
         F.lit(0).cast("long").alias("n_new"),
-        F.lit(None).cast("double").alias("new_amount"),
-        F.lit(None).cast("double").alias("clawback"),
+        *[F.lit(None).cast(money_side.schema[c].dataType).alias(c) for c in ("new_amount", "clawback")],
         "n_terms",
     )
     return (

@@ -114,9 +114,20 @@ def valid_ueis(text: str) -> list[str]:
     return ids if all(re.fullmatch(UEI_SHAPE, i) for i in ids) else []
 
 
+# Ids that a request may have as literals of a filter, which reaches the scan.
+FILTER_IDS = 50
+
+
 def awards_of(awards: DataFrame, ueis: str) -> DataFrame:
-    """Awards of the recipients in a validated, comma-separated request."""
-    return awards.filter(F.col("recipient_uei").isin(valid_ueis(ueis)))
+    """Awards of the recipients in a validated, comma-separated request.
+
+    Longer lists become a table for a semi join; the rows are the same.
+    """
+    ids = valid_ueis(ueis)
+    if len(ids) <= FILTER_IDS:
+        return awards.filter(F.col("recipient_uei").isin(ids))
+    asked = awards.sparkSession.createDataFrame([(i,) for i in sorted(set(ids))], "recipient_uei string")
+    return awards.join(asked, "recipient_uei", "left_semi").select(*awards.columns)
 
 
 def institution_portfolio(

@@ -459,3 +459,41 @@ def test_dates_and_amounts_must_be_written_in_full(spark):
     assert [r.n for r in got] == [2025.0, None, None, None, None, 1000.0, -0.5]
     us = frame_.select(silver.text_date(F.col("t"), ("yyyy-MM-dd", "MM/dd/yyyy")).alias("d")).collect()
     assert us[2].d == us[4].d == day("2025-04-18")
+
+
+def test_long_id_lists_find_the_same_awards(spark, monkeypatch):
+    ids = [f"U{i:011d}" for i in range(60)]
+    held = awards(spark, *[{"award_unique_key": str(i), "recipient_uei": u} for i, u in enumerate(ids * 2)])
+    request = ",".join(ids[:55])
+    long = records(institutions.awards_of(held, request), "award_unique_key", "recipient_uei")
+    monkeypatch.setattr(institutions, "FILTER_IDS", 100)
+    assert len(long) == 110
+    assert long == records(institutions.awards_of(held, request), "award_unique_key", "recipient_uei")
+
+
+def test_exact_money_stays_decimal_through_the_timeline(spark):
+    rows = silver.with_exact_money(
+        transactions(spark, {"recipient_uei": "U", "action_date": day("2025-02-01"), "action_type_description": "NEW", "federal_action_obligation": 5.0})
+    )
+    known = recipients(spark, {"recipient_uei": "U", "recipient_name": "X UNIVERSITY"})
+    line = dashboard.phase_timeline(rows, terminations(spark), awards(spark), known, CFG)
+    assert line.count() == 1 and line.first().n_new == 1
+
+
+def test_funnel_counts_academic_awards_at_risk(spark):
+    held = awards(
+        spark,
+        {"award_unique_key": "1", "award_id_fain": "F1", "recipient_uei": "A", "total_obligated_amount": 5.0,
+         "period_of_perf_start": day("2024-01-01"), "period_of_perf_end": day("2027-01-01")},
+        {"award_unique_key": "2", "award_id_fain": "F2", "recipient_uei": "A", "total_obligated_amount": 5.0,
+         "period_of_perf_start": day("2020-01-01"), "period_of_perf_end": day("2021-01-01")},
+        {"award_unique_key": "3", "award_id_fain": "F3", "recipient_uei": "B", "total_obligated_amount": 5.0,
+         "period_of_perf_start": day("2024-01-01"), "period_of_perf_end": day("2027-01-01")},
+    )
+    cut = terminations(spark, *[{"award_id_fain": f"F{k}", "reinstated": True} for k in (1, 2, 3, 9)])
+    who = recipients(spark, {"recipient_uei": "A", "recipient_name": "A UNIVERSITY"}, {"recipient_uei": "B", "recipient_name": "B LLC"})
+    offers = opportunities(spark, {"opportunity_id": "1"})
+    funnel = baselines.lifecycle_funnel(offers, held, cut, held.limit(0), who, CFG)
+    assert [r.n for r in funnel.collect()] == [1, 2, 1, 1, 1, 0]
+    everyone = baselines.lifecycle_funnel(offers, held, cut, held.limit(0))
+    assert [r.n for r in everyone.collect()] == [1, 3, 2, 2, 2, 0]
