@@ -516,20 +516,16 @@ def cls2(s: TableStore) -> DataFrame:
     )
 
 
+NAMED = " ".join(f"WHEN '{code}' THEN '{name}'" for code, name in classify.DIRECTORATE_NAMES)
+
+
 @query(
     "cls3_directorate_names",
-    """
+    f"""
     , named AS (
         SELECT awarding_sub_agency_name AS directorate, count(*) AS n FROM awards GROUP BY 1
     )
-    SELECT directorate, CASE directorate
-        WHEN 'CISE' THEN 'Computer & Information Science and Engineering'
-        WHEN 'ENG' THEN 'Engineering' WHEN 'MPS' THEN 'Mathematical and Physical Sciences'
-        WHEN 'BIO' THEN 'Biological Sciences' WHEN 'GEO' THEN 'Geosciences'
-        WHEN 'SBE' THEN 'Social, Behavioral and Economic Sciences'
-        WHEN 'EDU' THEN 'STEM Education' WHEN 'TIP' THEN 'Technology, Innovation and Partnerships'
-        WHEN 'OD' THEN 'Office of the Director' WHEN 'OIA' THEN 'Office of Integrative Activities'
-        WHEN 'OPP' THEN 'Office of Polar Programs' END AS directorate_name, n
+    SELECT directorate, CASE directorate {NAMED} END AS directorate_name, n
     FROM named
     """,
 )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -415,6 +417,59 @@ def d10(s: TableStore) -> DataFrame:
     )
 
 
+@query("d8_institution_members", "SELECT * FROM members")
+def d8_members(s: TableStore) -> DataFrame:
+    """Recipients of each institution as rows."""
+    return institutions.institution_members(s.table("recipients"), CFG)
+
+
+# A fixed request, longer than what goes into a scan as literals.
+ASKED = [f"{'U' + str(n):0>12}" for n in range(1, 121)]
+
+
+@query(
+    "d10_awards_of_listed_ids",
+    "SELECT award_unique_key, recipient_uei FROM awards WHERE recipient_uei IN ("
+    + ", ".join(f"'{u}'" for u in ASKED)
+    + ")",
+)
+def d10_listed(s: TableStore) -> DataFrame:
+    found = institutions.awards_of(s.table("awards"), ",".join(ASKED))
+    return found.select("award_unique_key", "recipient_uei")
+
+
+@query(
+    "x3_change_log",
+    """
+    , changed AS (
+        SELECT if(a.opportunity_id IS NULL, 'ADDED', 'REMOVED') AS change_type, NULL AS field_changed
+        FROM old_pull AS a FULL JOIN new_pull AS b ON a.opportunity_id = b.opportunity_id
+        WHERE a.opportunity_id IS NULL OR b.opportunity_id IS NULL
+        UNION ALL SELECT 'MODIFIED', 'title' FROM old_pull AS a JOIN new_pull AS b USING (opportunity_id)
+        WHERE a.title IS DISTINCT FROM b.title
+        UNION ALL SELECT 'MODIFIED', 'close_date' FROM old_pull AS a JOIN new_pull AS b USING (opportunity_id)
+        WHERE a.close_date IS DISTINCT FROM b.close_date
+        UNION ALL SELECT 'MODIFIED', 'estimated_total_funding'
+        FROM old_pull AS a JOIN new_pull AS b USING (opportunity_id)
+        WHERE a.estimated_total_funding IS DISTINCT FROM b.estimated_total_funding
+    )
+    SELECT change_type, coalesce(field_changed, '-') AS field_changed, count(*) AS n FROM changed GROUP BY 1, 2
+    UNION ALL SELECT 'ids', 'first', 1
+    UNION ALL SELECT 'ids', 'last', count(*) FROM changed
+    UNION ALL SELECT 'ids', 'distinct', count(*) FROM changed
+    """,
+)
+def x3_log(s: TableStore) -> DataFrame:
+    """The stored log by kind of change, and the range of its change_id."""
+    log = s.table("change_log")
+    field = F.coalesce("field_changed", F.lit("-")).alias("field_changed")
+    ids = log.agg(
+        F.min("change_id").alias("first"), F.max("change_id").alias("last"), F.count_distinct("change_id").alias("distinct")
+    )
+    shown = [ids.select(F.lit("ids"), F.lit(n), F.col(n).cast("bigint")) for n in ids.columns]
+    return reduce(DataFrame.union, [log.groupBy("change_type", field).agg(F.count("*").alias("n")), *shown])
+
+
 @query(
     "d10_portfolio_latest_termination",
     """
