@@ -288,7 +288,7 @@ PRE_POST_SQL = f"""
 def d2(s: TableStore) -> DataFrame:
     terminations, awards, recipients = _scope(s)
     return dashboard.pre_post_by_directorate(
-        s.table("transactions"), awards, terminations, recipients, CFG
+        s.table("transactions"), awards, terminations, recipients, CFG, s.table("funded_directorates")
     )
 
 

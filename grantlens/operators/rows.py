@@ -37,6 +37,18 @@ def in_window(df: DataFrame, day: str, window: tuple[dt.date, dt.date]) -> DataF
     return df.filter(condition)
 
 
+def in_any_window(df: DataFrame, day: str, *windows: tuple[dt.date, dt.date]) -> DataFrame:
+    """Rows in at least one of the half-open ranges, in one scan of their fiscal years."""
+    condition = within(F.col(day), windows[0])
+    for window in windows[1:]:
+        condition = condition | within(F.col(day), window)
+    if FISCAL_YEAR in df.columns:
+        bounds = [fiscal_years_of(w) for w in windows]
+        years = sorted({y for first, last in bounds for y in range(first, last + 1)})
+        condition = condition & F.col(FISCAL_YEAR).isin(years)
+    return df.filter(condition)
+
+
 def with_surrogate_key(
     df: DataFrame, name: str, buckets: int = 4096, chunk: int = 10_000
 ) -> DataFrame:

@@ -29,7 +29,7 @@ from grantlens.functions.text import is_academic
 from grantlens.operators.boxplot import box_stats, outliers
 from grantlens.operators.joins import key_set
 from grantlens.operators.quality import side_by_side, table_counts
-from grantlens.operators.rows import in_window
+from grantlens.operators.rows import in_any_window, in_window
 from grantlens.plans.silver import topic_order
 
 NO_VALUE = "(none)"
@@ -124,22 +124,37 @@ def awards_at_risk(awards: DataFrame, cfg: StudyConfig = DEFAULT_CONFIG) -> Data
     )
 
 
+def funded_directorates(
+    transactions: DataFrame, recipients: DataFrame, cfg: StudyConfig = DEFAULT_CONFIG
+) -> DataFrame:
+    """Directorates with any NEW action of an academic recipient, whenever it was."""
+    new = transactions.filter(F.col("action_type_description") == "NEW")
+    key = {"dir": F.col("awarding_sub_agency_name")}
+    return academic_transactions(new, recipients, key, [row_count().alias("n")], cfg).select("dir").distinct()
+
+
 def pre_post_by_directorate(
     transactions: DataFrame,
     awards: DataFrame,
     terminations: DataFrame,
     recipients: DataFrame,
     cfg: StudyConfig = DEFAULT_CONFIG,
+    directorates: DataFrame | None = None,
 ) -> DataFrame:
     """Drop in NEW obligations, and share of at-risk awards terminated.
 
-    Award keys and termination ids are unique, so their distinct counts are
+    `directorates` is funded_directorates, where it is stored: only the two
+    half-years of the transactions are then read. Award keys and termination ids are unique, so their distinct counts are
     plain counts once terminations are counted per award.
     """
     amount = F.col("federal_action_obligation")
     day = F.col("action_date")
+    new_actions = transactions.filter(F.col("action_type_description") == "NEW")
+    if directorates is None:
+        directorates = funded_directorates(transactions, recipients, cfg)
+    halves = in_any_window(new_actions, "action_date", cfg.prior_half, cfg.current_half)
     new_money = academic_transactions(
-        transactions.filter(F.col("action_type_description") == "NEW"),
+        halves,
         recipients,
         {"dir": F.col("awarding_sub_agency_name")},
         [
@@ -149,7 +164,9 @@ def pre_post_by_directorate(
         cfg,
     )
     pre = (
-        new_money.groupBy("dir")
+        new_money.select("dir", "prior", "current")
+        .unionByName(directorates.select("dir"), allowMissingColumns=True)
+        .groupBy("dir")
         .agg(money(F.sum("prior")).alias("prior"), money(sum_or_zero("current")).alias("current"))
         .filter(F.col("dir") != "OTHER")
         .select(

@@ -72,6 +72,9 @@ def table_specs(
             )
         ),
         "termination_totals": TableSpec(lambda s: dashboard.termination_totals(*scope(s), cfg)),
+        "funded_directorates": TableSpec(
+            lambda s: dashboard.funded_directorates(s.table("transactions"), s.table("recipients"), cfg)
+        ),
         "pre_post": TableSpec(
             lambda s: dashboard.pre_post_by_directorate(
                 s.table("transactions"),
@@ -79,6 +82,7 @@ def table_specs(
                 s.table("terminations"),
                 s.table("recipients"),
                 cfg,
+                s.table("funded_directorates"),
             )
         ),
         "timeline": TableSpec(

@@ -43,7 +43,7 @@ def test_groups_are_limited_ahead_of_the_shuffle(spark, name):
     assert "WindowGroupLimit" in plan(contract.queries()[name](spark, SF))
 
 
-@pytest.mark.parametrize("name", ["fil4_half_open_dates", "d3_phase_timeline", "v8_directorate_resilience"])
+@pytest.mark.parametrize("name", ["fil4_half_open_dates", "d2_pre_post_by_directorate", "d3_phase_timeline", "v8_directorate_resilience"])
 def test_fiscal_years_are_pruned(spark, name):
     text = plan(contract.queries()[name](spark, SF))
     assert "PartitionFilters: [" in text and "fiscal_year" in text.split("PartitionFilters: [")[1]
