@@ -177,6 +177,29 @@ def near_duplicates(prints: DataFrame, least: float = LIKENESS) -> DataFrame:
     return label.join(named, "root").select("fingerprint", "first_id", "class_id")
 
 
+def ranges(docs: DataFrame, parts: int) -> tuple[np.ndarray, dict[int, int]]:
+    """Cuts that deal the ids to about even ranges, and for each range's first id the range before it.
+
+    Both have at most `parts` entries. The first range follows the last.
+    """
+    ids = docs.select("doc_id").filter("doc_id is not null")
+    shares = [k / parts for k in range(1, parts)]
+    found = ids.agg(F.percentile_approx("doc_id", shares, 50 * parts)).first()[0] if shares else None
+    cuts = np.unique(np.array(found or [], dtype=np.int64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            least = np.full(len(cuts) + 1, np.iinfo(np.int64).max)
+            np.minimum.at(least, np.searchsorted(cuts, own, side="right"), own)
+            some = np.flatnonzero(np.isin(np.arange(len(least)), np.searchsorted(cuts, own, side="right")))
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(least[some])], names=["bucket", "doc_id"])
+
+    firsts = ids.mapInArrow(run, "bucket bigint, doc_id bigint").groupBy("bucket").agg(F.min("doc_id").alias("doc_id"))
+    order = sorted((r.bucket, r.doc_id) for r in firsts.collect())
+    return cuts, {order[k][1]: order[k - 1][0] for k in range(len(order))}
+
+
 def in_order(docs: DataFrame) -> DataFrame:
     """Rows dealt to ranges of doc_id, each range with the row that follows it.
 
@@ -184,43 +207,33 @@ def in_order(docs: DataFrame) -> DataFrame:
     followed by the very first. Texts are compressed for the shuffle. Rows
     without an id have no successor and are dealt by their text.
     """
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = docs.filter("doc_id is not null")
-    shares = [k / parts for k in range(1, parts)]
-    cuts = sorted({int(x) for x in ids.approxQuantile("doc_id", shares, 0.2 / parts)}) if shares else []
-    bucket = F.lit(0)
-    table = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>") if cuts else None
-    if cuts:
-        # Number of cuts at or below the id.
-        bucket = F.size(F.filter(table, lambda c: c <= F.col("doc_id")))
-    first = ids.select("doc_id", bucket.alias("bucket")).groupBy("bucket").agg(F.min("doc_id").alias("doc_id"))
-    firsts = sorted((r.bucket, r.doc_id) for r in first.collect())
-    leads = {firsts[k][1]: firsts[k - 1][0] for k in range(len(firsts))}
-    lead = F.create_map(*[x for k, v in leads.items() for x in (F.lit(k), F.lit(v))]) if leads else None
-    own = F.struct(F.coalesce(F.when(F.col("doc_id").isNull(), -1 - F.pmod(F.xxhash64("text"), F.lit(parts))), bucket).cast("bigint").alias("bucket"), F.lit(False).alias("ahead"))
-    targets = F.array(own)
-    if leads:
-        copy = F.struct(lead[F.col("doc_id")].cast("bigint").alias("bucket"), F.lit(True).alias("ahead"))
-        targets = F.when(lead[F.col("doc_id")].isNotNull(), F.array(own, copy)).otherwise(targets)
-    rows = docs.select("doc_id", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("tie"), raw_text().alias("text"), targets.alias("to"))
-    schema = "bucket bigint, ahead boolean, doc_id bigint, tie bigint, text binary"
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts, leads = ranges(docs, parts)
+    rows = docs.select("doc_id", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("tie"), raw_text().alias("text"))
 
     def packed(batch):
         press = zstandard.ZstdCompressor(level=1)
-        to = batch.column("to").to_pylist()
-        take = pa.array([i for i, t in enumerate(to) for _ in t], type=pa.int32())
+        at, bucket, ahead = [], [], []
+        for i, (key, tie) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("tie").to_pylist())):
+            at.append(i)
+            ahead.append(False)
+            bucket.append(-1 - tie % parts if key is None else int(np.searchsorted(cuts, key, side="right")))
+            if key in leads:
+                at.append(i)
+                ahead.append(True)
+                bucket.append(leads[key])
+        take = pa.array(at, type=pa.int32())
         text = pa.array([press.compress(t) for t in batch.column("text").to_pylist()], type=pa.binary())
         return {
-            "bucket": [x["bucket"] for t in to for x in t],
-            "ahead": [x["ahead"] for t in to for x in t],
+            "bucket": bucket,
+            "ahead": ahead,
             "doc_id": batch.column("doc_id").take(take),
             "tie": batch.column("tie").take(take),
             "text": text.take(take),
         }
 
     return (
-        map_steps(rows, packed, schema)
+        map_steps(rows, packed, "bucket bigint, ahead boolean, doc_id bigint, tie bigint, text binary")
         .repartition(parts, "bucket")
         .sortWithinPartitions("bucket", F.desc("ahead"), F.desc("doc_id"), F.desc("tie"))
     )
