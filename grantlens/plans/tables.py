@@ -37,6 +37,7 @@ def table_specs(
         "usaspending": TableSpec(
             lambda s: silver.with_fiscal_year(bronze.usaspending(s.table("raw_usaspending"), cfg)),
             partition_by="fiscal_year",
+            rebalance=False,
         ),
         "grants": TableSpec(lambda s: bronze.grants(s.table("raw_grants"))),
         "tracker": TableSpec(lambda s: bronze.terminations(s.table("raw_tracker"))),

@@ -39,6 +39,8 @@ class TableSpec:
     sort_by: tuple[str, ...] = ()
     # False for tables that are cheap to derive from their source each time.
     stored: bool = True
+    # False for rows that arrive by partition: they are written where they are.
+    rebalance: bool = True
 
 
 class TableStore:
@@ -58,7 +60,9 @@ class TableStore:
             spec = self.specs[name]
             df = spec.build(self)
             if spec.stored:
-                write_parquet(df, self.path(name), spec.partition_by, list(spec.sort_by))
+                write_parquet(
+                    df, self.path(name), spec.partition_by, list(spec.sort_by), rebalance=spec.rebalance
+                )
                 df = read_parquet(self.spark, self.path(name), df.schema)
             self._tables[name] = df
         return self._tables[name]

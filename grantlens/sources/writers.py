@@ -15,13 +15,16 @@ def write_parquet(
     partition_by: str | None = None,
     sort_by: list[str] | None = None,
     mode: str = "overwrite",
+    rebalance: bool = True,
 ) -> None:
     """ZSTD Parquet. mode='overwrite' reloads the table, 'append' adds rows.
 
     With partition_by, rows are rebalanced on it first, so that every
     partition folder gets few, evenly sized files whatever its share of rows.
+    rebalance=False saves that shuffle, for rows that arrive in the order of
+    their partitions, such as feeds with a folder per year.
     """
-    if partition_by:
+    if partition_by and rebalance:
         df = df.hint("rebalance", partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*([partition_by] if partition_by else []), *sort_by)
