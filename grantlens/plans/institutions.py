@@ -75,7 +75,6 @@ def institution_choices(
             row_count().alias("n_variants"),
             F.sum("n_terms").alias("n_terminations"),
         )
-        .orderBy("display_name")
     )
 
 
