@@ -142,9 +142,9 @@ def row_key() -> Column:
 
 def trigram_index(docs: DataFrame, trigrams: list[str]) -> DataFrame:
     """Stored postings (trigram, row) of the asked trigrams, over whole lower-cased texts."""
-    low = F.lower("text")
-    has = F.array_compact(F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in trigrams]))
-    each = docs.select(row_key().alias("row"), F.explode(has).alias("trigram"))
+    low = docs.select(row_key().alias("row"), F.lower("text").alias("low"))
+    has = F.array_compact(F.array(*[F.when(F.col("low").contains(t), F.lit(t)) for t in trigrams]))
+    each = low.select("row", F.explode(has).alias("trigram"))
     return saved(each.select("trigram", "row"), "trigram-postings")
 
 
