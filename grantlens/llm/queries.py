@@ -22,4 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lines": lines.op10_lines,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {"op9_decontamination": decontamination.SQL}
+ORACLES: dict[str, str] = {
+    "op3_secrets": secrets.SQL,
+    "op9_decontamination": decontamination.SQL,
+}

@@ -236,3 +236,34 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("spans").cast("binary"), 256).alias("base_sha256"),
         "spans",
     )
+
+
+def _kind_sql(nth: int, rule: Rule) -> str:
+    pattern = rule.pattern.replace("}+", "}").replace("'", "''")
+    return f"""
+  SELECT doc_id, {nth} AS nth, '{rule.kind}' AS kind, length(judged[i]) AS size,
+    list_sum([length(x) FOR x IN pieces[1 : i]])
+      + coalesce(list_sum([length(x) FOR x IN matches[1 : i - 1]]), 0) AS s, length(matches[i]) AS n
+  FROM (
+    SELECT doc_id, pieces, matches, judged, unnest(range(1, len(matches) + 1)) AS i
+    FROM (
+      SELECT doc_id, string_split_regex(t, '{pattern}') AS pieces,
+        regexp_extract_all(t, '{pattern}') AS matches,
+        regexp_extract_all(t, '{pattern}', {rule.group}) AS judged
+      FROM d WHERE regexp_matches(t, '{pattern}')
+    ) AS x
+  ) AS y WHERE length(judged[i]) >= {rule.least}"""
+
+
+SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({" UNION ALL ".join(_kind_sql(n, r) for n, r in enumerate(RULES))}
+), joined AS (
+  SELECT doc_id, string_agg(kind || ':' || s::BIGINT || ':' || (s + n)::BIGINT, ',' ORDER BY s, nth) AS spans,
+    {", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in RULES)}
+  FROM found GROUP BY doc_id
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in RULES)},
+  sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN joined USING (doc_id)
+"""
