@@ -81,7 +81,7 @@ def test_successors_across_ranges(spark, parts):
         frame = docs(spark, *texts, ids=ids).repartition(5)
         check(ee.with_edited(frame).collect(), plain_edited(list(zip(ids, texts))), ee.walk())
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
 
 
 def test_few_edits_stay_near():
