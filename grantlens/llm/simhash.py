@@ -99,8 +99,10 @@ def signed(mask: int) -> int:
 def bucketed(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> DataFrame:
     """Rows of fps (fp, ...) with (mask, val): every pair within max_bits shares a bucket.
 
-    Buckets above the size are dealt again by their remaining bits until they
-    are small or no bits remain; each round is one count and one join.
+    Buckets with more distinct fingerprints than the size are dealt again by
+    their remaining bits; each round is one count and one join. Equal ones stay
+    together: no bits can part them. Nor is a bucket dealt with fewer bits left
+    than blocks, since pairs that differ in all of them would have none in common.
     """
     masks = split_bits((1 << 64) - 1, max_bits + 1)
     rows, done = fps, None
@@ -110,9 +112,12 @@ def bucketed(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) ->
         ).withColumn("val", F.col("fp").bitwiseAND(F.col("mask")))
         hot = saved(
             dealt.groupBy("mask", "val").agg(F.count("*").alias("n"))
-            .filter((F.col("n") > bucket) & (F.col("mask") != -1)).select("mask", "val"),
-            "hot-buckets",
+            .filter((F.col("n") > bucket) & (F.bit_count("mask") < 64 - max_bits)).select("mask", "val"),
+            "large-buckets",
         )
+        kinds = dealt.join(hot, ["mask", "val"], "left_semi").select("mask", "val", "fp").distinct()
+        kinds = kinds.groupBy("mask", "val").agg(F.count("*").alias("n"))
+        hot = saved(kinds.filter(F.col("n") > bucket).select("mask", "val"), "hot-buckets")
         small = dealt.join(hot, ["mask", "val"], "left_anti")
         done = small if done is None else done.unionByName(small)
         used = [r.mask for r in hot.select("mask").distinct().collect()]
@@ -122,7 +127,6 @@ def bucketed(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) ->
             (m, signed((m & (1 << 64) - 1) | block))
             for m in used
             for block in split_bits(~m & (1 << 64) - 1, max_bits + 1)
-            if block
         ]
         table = fps.sparkSession.createDataFrame(sorted(set(finer)), "mask bigint, finer bigint")
         rows = (
