@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from grantlens.llm import bpe, decontamination, edit_embedding, html, lines, passages, pii, quality, secrets, simhash
+from grantlens.llm import (
+    bpe,
+    decontamination,
+    edit_embedding,
+    html,
+    importance,
+    lines,
+    passages,
+    pii,
+    quality,
+    secrets,
+    simhash,
+    zones,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
@@ -20,9 +33,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": bpe.op8_bpe,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_lines": lines.op10_lines,
+    "op12_importance": importance.op12_importance,
+    "op13_zones": zones.op13_zones,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
     "op3_secrets": secrets.SQL,
     "op9_decontamination": decontamination.SQL,
+    "op12_importance": importance.SQL,
+    "op13_zones": zones.SQL,
 }
