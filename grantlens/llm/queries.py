@@ -19,6 +19,7 @@ from grantlens.llm import (
     quality,
     secrets,
     simhash,
+    toxicity,
     zones,
 )
 
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": bpe.op8_bpe,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_lines": lines.op10_lines,
+    "op11_toxicity": toxicity.op11_toxicity,
     "op12_importance": importance.op12_importance,
     "op13_zones": zones.op13_zones,
     "pipeline": corpus_pipeline.run,

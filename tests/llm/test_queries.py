@@ -23,7 +23,7 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_every_operator_has_one_query():
     names = [n for n in contract.queries() if n in queries.QUERIES]
-    assert sorted(n.split("_")[0] for n in names) == sorted([f"op{k}" for k in range(1, 11)] + ["pipeline"])
+    assert sorted(n.split("_")[0] for n in names) == sorted([f"op{k}" for k in range(1, 14)] + ["pipeline"])
 
 
 # The columns each result must carry.
@@ -36,6 +36,9 @@ COLUMNS = {
     "op7_quality": "doc_id held_out score predicted",
     "op8_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
     "op9_decontamination": "doc_id n_words n_hit n_items items_sha256 contaminated",
+    "op11_toxicity": "doc_id held_out score predicted",
+    "op12_importance": "doc_id n_features weight score rank",
+    "op13_zones": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
 }
 
 
