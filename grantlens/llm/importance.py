@@ -145,9 +145,10 @@ def gains(corpus: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> DataF
         .join(target.withColumnRenamed("n", "t"), "bucket", "left")
         .select("bucket", F.coalesce("s", F.lit(0)).cast("double").alias("s"), F.coalesce("t", F.lit(0)).cast("double").alias("t"))
     )
-    sums = both.agg(F.sum("s").alias("all_s"), F.sum("t").alias("all_t"))
-    ratio = ((F.col("t") + 1) * (F.col("all_s") + buckets)) / ((F.col("s") + 1) * (F.col("all_t") + buckets))
-    return both.join(F.broadcast(sums)).select("bucket", F.floor(1000 * F.log(ratio)).alias("gain"))
+    both = saved(both, "histograms")
+    all_s, all_t = both.agg(F.sum("s"), F.sum("t")).first()
+    ratio = ((F.col("t") + 1) * F.lit(all_s + buckets)) / ((F.col("s") + 1) * F.lit(all_t + buckets))
+    return both.select("bucket", F.floor(1000 * F.log(ratio)).alias("gain"))
 
 
 def weighed(counted: DataFrame, gain: DataFrame, buckets: int = BUCKETS) -> DataFrame:

@@ -252,12 +252,14 @@ def clustered(
 
 def op13_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, centroids = clustered(load(spark, sf_dir, "embeddings"))
-    names = [(i, hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()) for i, c in enumerate(centroids.tolist())]
-    names = spark.createDataFrame(names, "cluster int, centroid_sha256 string")
-    sums = found.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
-    # One row per centroid on either side.
-    total = sums.agg(F.sum("cluster_inertia").alias("inertia"))
-    per_cluster = sums.join(names, "cluster").join(F.broadcast(total))
+    names = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids.tolist()]
+    # One row per centroid.
+    sums = found.groupBy("cluster").agg(F.sum("distance").alias("n")).collect()
+    inertia = sum(r.n for r in sums)
+    per_cluster = spark.createDataFrame(
+        [(r.cluster, r.n, inertia, names[r.cluster]) for r in sums],
+        "cluster int, cluster_inertia bigint, inertia bigint, centroid_sha256 string",
+    )
     return found.join(F.broadcast(per_cluster), "cluster").select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
     )
