@@ -90,6 +90,16 @@ def test_long_texts_take_linear_time():
     for text in ("1" * 300_000, "a" * 300_000 + "@", "1 " * 150_000, "+1" * 150_000, "a.b@" * 75_000, "1." * 150_000):
         pii.find([text])
     assert time.time() - start < 60
+    start = time.time()
+    for text in ("x" * 1_000_000, "é-" * 500_000, "ab " * 300_000 + "x" * 1_000_000 + " 1"):
+        pii.find([text])
+    assert time.time() - start < 10
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text("a1@ .\n", max_size=30))
+def test_tokens_as_the_plain_pattern(text):
+    assert [m.span() for m in pii.TOKEN.finditer(text)] == [m.span() for m in re.finditer(r"\S*[0-9@]\S*", text)]
 
 
 def test_nulls_repeats_and_extra_columns(spark):
