@@ -33,18 +33,25 @@ FRAME_WORDS = set(
     "navigation pager pagination search searchbox sidebar sitemap skip skiplink toolbar topbar".split()
 )
 ASIDE_WORDS = set(
-    "ad ads adslot advert advertisement adverts alert carousel comment commentary commentlist comments complementary "
-    "consent cookie cookies dialog discussion disqus feedback gdpr hidden modal newsletter notice notices notification "
-    "outbrain overlay popup promo promoted promotion recommended related replies reply respond share sharing signup "
-    "social sponsor sponsored subscribe subscription taboola teaser trending widget".split()
+    "ad ads adslot advert advertisement adverts carousel comment commentary commentlist comments complementary "
+    "consent cookie cookies disqus gdpr hidden modal newsletter notice notices notification outbrain overlay popup "
+    "promo promoted promotion recommended related signup sponsor sponsored subscribe subscription taboola teaser "
+    "trending".split()
 )
+# Words that also name subjects and page parts of all kinds: a hint, no more.
+FRAME_HINTS = set("banner header login search".split())
+HINT_WORDS = set("alert dialog discussion feedback reply replies respond share sharing social widget".split())
 FRAME_TAGS = {"nav", "header", "footer", "menu"}
 ASIDE_TAGS = {"aside", "form", "dialog", "fieldset"}
 CONTENT_TAGS = {"article", "main"}
 CONTENT_WORDS = set("article articlebody content entry maincontent post postbody story storybody".split())
 
+# Elements without an end, of which nothing can be inside.
+VOID = set("area base col embed img input link meta param source track".split())
+
 PARTS = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
+    r"|<(?:svg|math)(?=[\s/])[^>]*/>"
     r"|<(?P<mute>" + SILENT.replace(" ", "|") + r")(?=[\s/>])[^>]*(?:>.*?(?:</(?P=mute)(?=[\s/>])[^>]*>?|\Z)|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
     r"|</?[a-z!?/][^>]*(?:>|\Z)",
@@ -52,6 +59,9 @@ PARTS = re.compile(
 )
 ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 NAME = re.compile(r"[a-z]+")
+# How strongly an element's names speak: not at all, by a vague word, by a clear one or its tag.
+NONE, HINT, SURE = 0, 1, 2
+Marks = tuple[int, int, int]
 
 FEATURES = (
     "in content", "in frame", "in aside", "heading", "list item",
@@ -63,45 +73,65 @@ FEATURES = (
 class Block:
     text: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
+    held: list[str] = field(default_factory=list)
     flags: tuple[int, ...] = ()
 
 
-def _marks(tag: str, attrs: str) -> tuple[bool, bool, bool]:
-    """Whether an element's tag or attributes say content, page frame, or aside."""
-    content, frame, aside = tag in CONTENT_TAGS, tag in FRAME_TAGS, tag in ASIDE_TAGS
+def _level(names: list[str], words: set[str], hints: set[str] = frozenset()) -> int:
+    """hints speak vaguely; those that are words, too, do so as a part of a name."""
+    parts = {part for n in names for part in NAME.findall(n)}
+    if any(n in words for n in names) or parts & (words - hints):
+        return SURE
+    return HINT if parts & hints else NONE
+
+
+def _marks(tag: str, attrs: str) -> Marks:
+    """How strongly an element's tag and attributes say content, page frame, and aside."""
+    content, frame, aside = (SURE * (tag in tags) for tags in (CONTENT_TAGS, FRAME_TAGS, ASIDE_TAGS))
     if attrs and not attrs.isspace():
         for m in ATTRIBUTE.finditer(attrs):
             name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
-                aside = True
+                aside = SURE
             elif name == "style":
-                aside |= "display:none" in value.replace(" ", "")
+                aside = max(aside, SURE * ("display:none" in value.replace(" ", "")))
             elif name in ("class", "id", "role"):
-                names = set(NAME.findall(value))
-                content |= bool(names & CONTENT_WORDS) or value == "main"
-                frame |= bool(names & FRAME_WORDS)
-                aside |= bool(names & ASIDE_WORDS)
+                names = [n.strip("0123456789_-") for n in value.split()]
+                content = max(content, SURE if value == "main" else _level(names, CONTENT_WORDS))
+                frame = max(frame, _level(names, FRAME_WORDS, FRAME_HINTS))
+                aside = max(aside, _level(names, ASIDE_WORDS, HINT_WORDS))
     return content, frame, aside
 
 
+def _both(outer: Marks, inner: Marks) -> Marks:
+    return tuple(map(max, outer, inner))
+
+
 def blocks(page: str) -> list[tuple[str, np.ndarray]]:
     """(text, features) of each block that has text, in page order."""
     found: list[Block] = []
     now = Block()
-    # Open elements with the marks that hold inside them.
-    stack: list[tuple[str, tuple[bool, bool, bool]]] = [("", (False, False, False))]
+    # Open elements with the marks that hold inside them, the marks of a paragraph
+    # or heading, and an inline element set apart with its own marks.
+    stack: list[tuple[str, Marks]] = [("", (NONE, NONE, NONE))]
+    own: Marks = (NONE, NONE, NONE)
+    apart: tuple[str, int, Marks] | None = None
     heading, item, link = 0, 0, 0
 
     def close() -> None:
-        nonlocal now
-        if now.text:
-            content, frame, aside = stack[-1][1]
-            now.flags = (content, frame, aside, heading > 0, item > 0)
-            found.append(now)
-        now = Block()
+        nonlocal now, own, apart
+        marks = _both(stack[-1][1], own)
+        for block, flags in ((now.text, marks), (now.held, _both(marks, apart[2] if apart else marks))):
+            if block:
+                linked = now.linked if block is now.text else []
+                found.append(Block(block, linked, [], (*flags, heading > 0, item > 0)))
+        now, own, apart = Block(), (NONE, NONE, NONE), None
 
     def add(raw: str) -> None:
         if raw:
+            if apart:
+                now.held.append(raw)
+                return
             now.text.append(raw)
             if link:
                 now.linked.append(raw)
@@ -116,8 +146,6 @@ def blocks(page: str) -> list[tuple[str, np.ndarray]]:
         tag, ends = tag.lower(), bool(m["end"])
         if tag in SPACES:
             add(" ")
-        elif tag == "a":
-            link = 0 if ends else 1
         elif tag in BLOCKS:
             close()
             if tag[0] == "h" and tag[1:].isdigit():
@@ -128,17 +156,35 @@ def blocks(page: str) -> list[tuple[str, np.ndarray]]:
                 item = 0 if ends else 1
             if tag in CONTAINERS:
                 if not ends:
-                    content, frame, aside = _marks(tag, m["attrs"])
-                    held = stack[-1][1]
-                    if tag in CONTENT_TAGS and not held[2]:
+                    marks, held = _marks(tag, m["attrs"]), stack[-1][1]
+                    if tag in CONTENT_TAGS and held[2] < SURE:
                         # An article or main part ends what a wrapper around it said.
-                        stack.append((tag, (not aside, False, aside)))
+                        stack.append((tag, (SURE if marks[2] < SURE else NONE, NONE, marks[2])))
                     else:
-                        stack.append((tag, (held[0] or content, held[1] or frame, held[2] or aside)))
+                        stack.append((tag, _both(held, marks)))
                 elif any(t == tag for t, _ in stack):
                     while stack.pop()[0] != tag:
                         pass
                     link = 0
+            elif not ends:
+                own = _marks(tag, m["attrs"])
+        else:
+            if tag == "a":
+                link = 0 if ends else 1
+            if apart:
+                # The inline element ends with its own end, or at the latest with its block.
+                name, depth, marks = apart
+                depth += (tag == name) * (-1 if ends else 1)
+                if not depth:
+                    now.held.append(" ")
+                    found.append(Block(now.held, [], [], (*_both(_both(stack[-1][1], own), marks), heading > 0, item > 0)))
+                    now.held = []
+                apart = (name, depth, marks) if depth else None
+            elif not ends and tag not in VOID and m["attrs"]:
+                marks = _marks(tag, m["attrs"])
+                if max(marks[1:]) == SURE:
+                    apart = (tag, 1, marks)
+                    now.text.append(" ") if now.text else None
     add(page[at:])
     close()
     out, facts = [], []
@@ -212,6 +258,14 @@ LABELLED = [
     f"<article><p>1 {LONG}</p><section class=comments><article><p>0 {LONG}</p></article></section></article>",
     f"<div class=notice>0 {LONG}</div><div class=header>0 {LONG}</div><article><p>1 yes.</p><p>1 no.</p></article>",
     "<div>0 all rights reserved</div><div><a>0 privacy</a></div><div><a>0 terms</a></div>",
+    f"<div class=social-science><h1>1 a title</h1><p>1 {LONG}</p><p>1 brief.</p><p>1 {LONG}</p></div><div class=share-bar><a>0 share</a> <a>0 more</a></div>",
+    f"<ul class=social><li><a>0 one</a></li><li><a>0 two</a></li></ul><main><p>1 {LONG}</p></main><ul><li><a>0 three</a></li></ul>",
+    f"<ul><li><a>0 one</a></li><li><a>0 two</a></li></ul><div><h1>1 a title</h1><p>1 {LONG}</p><p>1 {LONG}</p></div><p><a>0 on</a> <a>0 back</a></p>",
+    f"<article><section class='post-type widget'><p>1 {LONG}</p><p>1 {LONG}</p></section></article><div class=widget><a>0 one</a></div>",
+    f"<article><div class=article-header><h1>1 a title</h1><p>1 by someone</p></div><p>1 {LONG}</p><p class=advert>0 {LONG}</p>"
+    f"<div class=social-links><a>0 here</a></div><p>1 {LONG}</p></article>",
+    f"<div class=site-footer><p>0 some words of a firm</p></div><div class=comment-list><p>0 {LONG}</p></div><div class=main-content><p>1 {LONG}</p></div>",
+    f"<main><div class=discussion><h2>1 a title</h2><p>1 {LONG}</p></div><div class=cookie-bar><p>0 we use them</p></div></main>",
 ]
 
 

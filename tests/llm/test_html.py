@@ -50,6 +50,37 @@ def test_unseen_layouts():
     assert text_of(page) == "Head & line\nFirst paragraph, two lines <b>.\nOne\nTwo 3\na\nb"
 
 
+SAY = "what this paragraph says goes on for a good many words, as main text mostly does, until it comes to its end"
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<article><p>before</p><svg viewBox='0 0 1 1'/><p>after</p><math/><p>end</p></article>", "before\nafter\nend"),
+        ("<article><p>a<svg><path d='x'/>no</svg>b</p><p>c</p></article>", "ab\nc"),
+        (f"<article><p>{SAY}</p><p class=advert>{SAY}</p><p>{SAY}</p></article>", f"{SAY}\n{SAY}"),
+        (f"<article><p>one <span class='advert'>buy <span>this</span> now</span> two <b class=x>three</b></p><p>{SAY}</p></article>", f"one two three\n{SAY}"),
+        (f"<article><p>one <span hidden>never closed</p><p>{SAY}</p></article>", f"one\n{SAY}"),
+        (f"<article><p>one <img class=ad src=x> two</p><p>{SAY}</p></article>", f"one two\n{SAY}"),
+        (f"<div class=social-science><h1>Title</h1><p>{SAY}</p><p>{SAY}</p></div>", f"Title\n{SAY}\n{SAY}"),
+        (f"<article class='post-type widget'><p>{SAY}</p><p>{SAY}</p></article>", f"{SAY}\n{SAY}"),
+        (f"<article><section class='widget post'><p>{SAY}</p><p>{SAY}</p></section></article>", f"{SAY}\n{SAY}"),
+        (f"<article><header class=article-head><h1>Title</h1></header><p>{SAY}</p></article>", f"Title\n{SAY}"),
+        (f"<div><p>{SAY}</p><p>{SAY}</p></div><div class=comments><p>{SAY}</p></div>", f"{SAY}\n{SAY}"),
+        (f"<div class=sidebar><p>{SAY}</p></div><article><p>{SAY}</p></article>", SAY),
+        (f"<div id=comment-12><p>{SAY}</p></div><article><p>{SAY}</p><p>Brief.</p></article>", f"{SAY}\nBrief."),
+        (f"<ul class=share><li><a>Here</a></li><li><a>There</a></li></ul><main><p>{SAY}</p></main>", SAY),
+    ],
+)
+def test_held_out_layouts(page, want):
+    assert text_of(page) == want
+
+
+def test_no_text_is_lost_before_the_tree_decides():
+    page = "<p>a</p><span class=ad>b</span> c <div class=ad>d<p hidden>e</p></div><svg/>f<b class=advert>g</b>"
+    assert sorted("".join(t for t, _ in html.blocks(page)).replace(" ", "")) == list("abcdefg")
+
+
 @pytest.mark.parametrize(
     "page",
     ["", "<", "<p", "<!--", "<script>x", "a < b > c", "</article></p></div>", "<p>x<p>y", "&#xD800;&bogus;&amp", "<a href='x", "<" * 3000, "<p a=\"" * 3000],
