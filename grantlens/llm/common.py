@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -23,11 +24,19 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or if unset, Spark's own warehouse."""
-    named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(
-        CHECKPOINT_DIR, None
-    )
-    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    """The folder all executors share: spark.checkpoint.dir, or if unset, Spark's own warehouse.
+
+    The latter may be a folder of the driver's machine that nobody chose: with
+    executors on other machines that is an error.
+    """
+    named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR, None)
+    if named:
+        return named.rstrip("/")
+    folder = spark.conf.get("spark.sql.warehouse.dir")
+    alone = re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master)
+    if not alone and (folder.startswith("file:") or "://" not in folder):
+        raise ValueError(f"{folder} may be a folder of one machine; name a folder that all executors see in {CHECKPOINT_DIR}")
+    return folder.rstrip("/")
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
