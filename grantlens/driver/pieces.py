@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from contextlib import suppress
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -26,8 +28,8 @@ from grantlens.functions.numbers import count_where, money, percent, row_count,
 from grantlens.operators import joins, quality
 from grantlens.operators.rows import in_window, keep_one, whole_row_order, with_surrogate_key
 from grantlens.plans import bronze, changes, dashboard, institutions, silver, tables, views
-from grantlens.sources import readers, schemas, writers
-from grantlens.sources.store import TableStore
+from grantlens.sources import publish, readers, schemas, writers
+from grantlens.sources.store import TableSpec, TableStore
 
 # -- sources -------------------------------------------------------------------
 
@@ -307,14 +309,38 @@ def snk8(s: TableStore) -> DataFrame:
     """,
 )
 def snk9(s: TableStore) -> DataFrame:
-    active = F.col("is_active")
-    parts = [
-        quality.stage_counters(name, s.table(name), active=active)
-        for name in ["usaspending", "grants", "tracker"]
-    ]
-    matched = F.col("award_id_fain").isNotNull()
-    parts.append(quality.stage_counters("terminations", s.table("terminations"), matched=matched))
-    return reduce(DataFrame.union, [*parts, tables.dropped_counters(s)])
+    """Counted by the jobs that wrote the tables."""
+    return tables.stage_counters(s)
+
+
+@query(
+    "snk10_published_version",
+    """
+    SELECT 'awards' AS tbl, awarding_sub_agency_name AS directorate, count(*) AS n FROM awards GROUP BY 2
+    UNION ALL SELECT 'versions', NULL, 2
+    """,
+)
+def snk10(s: TableStore) -> DataFrame:
+    """Two loads are published, a third one breaks off midway: readers see the second."""
+    folder, awards = s.path("sinks/published"), s.table("awards")
+
+    def broken(_: TableStore) -> DataFrame:
+        raise RuntimeError("the feed broke off")
+
+    def specs(rows: DataFrame, last: Callable[[TableStore], DataFrame]) -> dict[str, TableSpec]:
+        by_directorate = F.col("awarding_sub_agency_name")
+        return {
+            "awards": TableSpec(lambda _: rows, bucket_by="award_unique_key"),
+            "counts": TableSpec(last or (lambda t: t.table("awards").groupBy(by_directorate.alias("directorate")).agg(F.count("*").alias("n")))),
+        }
+
+    before = len(publish.versions(s.spark, folder))
+    for rows, last in ((awards.limit(0), None), (awards, None), (awards.limit(0), broken)):
+        with suppress(RuntimeError):
+            publish.publish(s.spark, folder, specs(rows, last), ["awards", "counts"])
+    counts = publish.open_store(s.spark, folder).table("counts").select(F.lit("awards").alias("tbl"), "directorate", "n")
+    n_versions = F.lit(len(publish.versions(s.spark, folder)) - before).cast("bigint")
+    return counts.union(s.spark.range(1).select(F.lit("versions"), F.lit(None).cast("string"), n_versions))
 
 
 # -- projections ---------------------------------------------------------------
@@ -807,11 +833,13 @@ def jn14(s: TableStore) -> DataFrame:
     """,
 )
 def jn15(s: TableStore) -> DataFrame:
-    """The plain form, against all awards; p7_transactions uses the orphan keys."""
-    rows = silver.transaction_rows(s.table("usaspending")).select(
-        "transaction_unique_key", "award_unique_key"
-    )
-    return joins.flag_known(rows, "award_unique_key", s.table("awards"), "kept", unique=True)
+    """Against all awards, which are clustered like the rows; p7_transactions uses the orphan keys."""
+
+    def flagged(part: str) -> DataFrame:
+        rows = silver.transaction_rows(s.table(part)).select("transaction_unique_key", "award_unique_key")
+        return joins.flag_known(rows, "award_unique_key", s.table("awards"), "kept", unique=True)
+
+    return flagged("award_actions").unionByName(flagged("loose_actions"))
 
 
 @query(
@@ -835,7 +863,7 @@ def jn16(s: TableStore) -> DataFrame:
 
 @query("ag1_award_rollup", "SELECT * FROM award_rollup")
 def ag1(s: TableStore) -> DataFrame:
-    return silver.award_rollup(s.table("usaspending"), CFG)
+    return tables.rollup_of(s, CFG)
 
 
 @query(

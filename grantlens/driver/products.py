@@ -17,7 +17,7 @@ from grantlens.driver.oracle import (
     topic,
 )
 from grantlens.driver.registry import CFG, query
-from grantlens.plans import baselines, bronze, changes, dashboard, institutions, silver, views
+from grantlens.plans import baselines, bronze, changes, dashboard, institutions, silver, tables, views
 from grantlens.sources.store import TableStore
 
 
@@ -56,16 +56,12 @@ def p5(s: TableStore) -> DataFrame:
 
 @query("p6_awards", "SELECT *, '2026-04-06 00:00:00' AS pulled_at FROM awards")
 def p6(s: TableStore) -> DataFrame:
-    return _load_text(silver.awards(s.table("usaspending"), s.table("recipients"), CFG))
+    return _load_text(tables.awards_of(s, CFG, s.table("recipients")))
 
 
 @query("p7_transactions", "SELECT *, '2026-04-06 00:00:00' AS pulled_at FROM transactions")
 def p7(s: TableStore) -> DataFrame:
-    return _load_text(
-        silver.transactions(
-            s.table("usaspending"), cfg=CFG, orphan_keys=s.table("orphan_award_keys")
-        )
-    )
+    return _load_text(tables.transactions_of(s, CFG))
 
 
 @query("p8_terminations", "SELECT * EXCLUDE (termination_id) FROM terminations")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -145,41 +147,104 @@ def opportunities(
     )
 
 
-def award_rollup(usaspending: DataFrame, cfg: StudyConfig = DEFAULT_CONFIG) -> DataFrame:
+ACTION_COLUMNS = [
+    "assistance_transaction_unique_key",
+    "assistance_award_unique_key",
+    "award_id_fain",
+    "recipient_uei",
+    "cfda_number",
+    "cfda_title",
+    "action_date",
+    "action_type_description",
+    "federal_action_obligation",
+    "total_obligated_amount",
+    "total_outlayed_amount_for_overall_award",
+    "period_of_performance_start_date",
+    "period_of_performance_current_end_date",
+    "assistance_type_description",
+    "transaction_description",
+]
+AWARD_KEY = "assistance_award_unique_key"
+# Rows of one award beyond which it is kept out of the buckets, where one task would write and read it.
+HOT_AWARD_ROWS = 1_000_000
+
+
+def hot_award_keys(usaspending: DataFrame, rows: int = HOT_AWARD_ROWS) -> DataFrame:
+    """Awards of more than so many transactions."""
+    counted = usaspending.groupBy(AWARD_KEY).agg(F.count(F.lit(1)).alias("n"))
+    return counted.filter(F.col(AWARD_KEY).isNotNull() & (F.col("n") > rows)).select(AWARD_KEY)
+
+
+def award_actions(usaspending: DataFrame, hot_keys: DataFrame) -> DataFrame:
+    """The transactions that can be clustered by award: those of a known and not too large award."""
+    rows = usaspending.filter(F.col(AWARD_KEY).isNotNull())
+    return keep_unknown(rows, AWARD_KEY, hot_keys, unique=True).select(*ACTION_COLUMNS)
+
+
+def loose_actions(usaspending: DataFrame, hot_keys: DataFrame) -> DataFrame:
+    """The other transactions: without an award key, or of a hot award."""
+    hot = keep_known(usaspending, AWARD_KEY, hot_keys, unique=True).select(*ACTION_COLUMNS)
+    return hot.unionByName(usaspending.filter(F.col(AWARD_KEY).isNull()).select(*ACTION_COLUMNS))
+
+
+def award_rollup(
+    usaspending: DataFrame, cfg: StudyConfig = DEFAULT_CONFIG, clustered: bool = False
+) -> DataFrame:
     """Aggregate transactions to awards.
 
     Attributes that may differ between an award's transactions take their
     smallest non-NULL value, which is one of the values a row-order-dependent
     choice could return. Awards without any FAIN drop.
+    clustered=True is for rows bucketed by award: nothing is shuffled then, and
+    one pass takes all.
     """
+    return finished_awards(award_states(usaspending, clustered), cfg)
+
+
+# What an award's transactions are reduced to, by output name.
+AWARD_TEXTS = ["award_id_fain", "recipient_uei", "cfda_number", "cfda_title"]
+AWARD_LEAST = {"period_of_perf_start": "period_of_performance_start_date"}
+AWARD_MOST = {
+    "total_obligated_amount": "total_obligated_amount",
+    "total_outlayed_amount": "total_outlayed_amount_for_overall_award",
+    "period_of_perf_end": "period_of_performance_current_end_date",
+    "action_date": "action_date",
+}
+
+
+def award_states(usaspending: DataFrame, clustered: bool = False) -> DataFrame:
+    """One row per award key with least and greatest values: a state that merges with others of its kind."""
     rows = usaspending.filter(
-        F.col("assistance_award_unique_key").isNotNull() & flags.has_key(F.col("recipient_uei"))
-    ).withColumnRenamed("assistance_award_unique_key", "award_unique_key")
+        F.col(AWARD_KEY).isNotNull() & flags.has_key(F.col("recipient_uei"))
+    ).withColumnRenamed(AWARD_KEY, "award_unique_key")
     # Numbers and dates are reduced by hash within the few combinations of text
     # attributes that an award has; only these are then sorted for their minima.
-    texts = ["award_id_fain", "recipient_uei", "cfda_number", "cfda_title"]
-    least = {"period_of_perf_start": "period_of_performance_start_date"}
-    most = {
-        "total_obligated_amount": "total_obligated_amount",
-        "total_outlayed_amount": "total_outlayed_amount_for_overall_award",
-        "period_of_perf_end": "period_of_performance_current_end_date",
-        "action_date": "action_date",
-    }
-    combined = rows.groupBy("award_unique_key", *texts).agg(
-        *[F.min(c).alias(n) for n, c in least.items()], *[F.max(c).alias(n) for n, c in most.items()]
+    described = rows.withColumnRenamed("transaction_description", "description")
+    texts = [*AWARD_TEXTS, "description"] if clustered else AWARD_TEXTS
+    combined = described.groupBy("award_unique_key", *texts).agg(
+        *[F.min(c).alias(n) for n, c in AWARD_LEAST.items()], *[F.max(c).alias(n) for n, c in AWARD_MOST.items()]
     )
-    described = (
-        rows.select("award_unique_key", "transaction_description").distinct()
-        .groupBy("award_unique_key").agg(F.min("transaction_description").alias("description"))
+    if clustered:
+        return merged_states(combined)
+    # The widest column goes its own way, reduced to one value per award ahead of its only shuffle.
+    least = described.groupBy("award_unique_key").agg(F.min("description").alias("description"))
+    return merged_states(combined.withColumn("description", F.lit(None).cast("string"))).drop("description").join(
+        least, "award_unique_key"
     )
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """Award states of any parts of the transactions, merged to one per award."""
+    return states.groupBy("award_unique_key").agg(
+        *[F.min(c).alias(c) for c in [*AWARD_TEXTS, "description", *AWARD_LEAST]],
+        *[F.max(c).alias(c) for c in AWARD_MOST],
+    )
+
+
+def finished_awards(states: DataFrame, cfg: StudyConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Awards from their merged states."""
     return (
-        combined.groupBy("award_unique_key")
-        .agg(
-            *[F.min(c).alias(c) for c in [*texts, *least]],
-            *[F.max(c).alias(c) for c in most],
-        )
-        .join(described, "award_unique_key")
-        .withColumn("is_active", flags.period_active(F.col("period_of_perf_end"), cfg.as_of))
+        states.withColumn("is_active", flags.period_active(F.col("period_of_perf_end"), cfg.as_of))
         .filter(F.col("award_id_fain").isNotNull())
         .select(
             "award_unique_key",
@@ -211,9 +276,14 @@ def awards(
     when it is built from the same transactions: every award's recipient is
     then in it, and the join would only cost a shuffle.
     """
-    unique = keep_one(
-        award_rollup(usaspending, cfg), ["award_id_fain"], [F.col("award_unique_key").asc()]
-    )
+    return unique_awards(award_rollup(usaspending, cfg), recipients, cfg)
+
+
+def unique_awards(
+    rollup: DataFrame, recipients: DataFrame | None = None, cfg: StudyConfig = DEFAULT_CONFIG
+) -> DataFrame:
+    """Of the awards that share a FAIN, the one with the smallest key."""
+    unique = keep_one(rollup, ["award_id_fain"], [F.col("award_unique_key").asc()])
     if recipients is not None:
         known = keep_known(unique, "recipient_uei", recipients, unique=True)
         unique = known.select(*unique.columns)
@@ -237,11 +307,54 @@ def transaction_rows(usaspending: DataFrame) -> DataFrame:
 
 
 def orphan_award_keys(usaspending: DataFrame, awards: DataFrame) -> DataFrame:
-    """Award keys that occur among the transactions but not among the awards."""
-    keys = key_set(transaction_rows(usaspending), "award_unique_key")
+    """Award keys that occur in the feed but not among the awards."""
+    keys = key_set(usaspending, AWARD_KEY, "award_unique_key")
     return keep_unknown(keys, "award_unique_key", awards, unique=True)
 
 
+def shared_transaction_keys(*parts: DataFrame) -> DataFrame:
+    """Transaction keys that occur under several awards.
+
+    Within rows clustered by award, and between parts with different awards, a
+    key's awards are found without moving the rows; the keys alone are then counted.
+    """
+    pairs = [
+        p.filter(F.col("assistance_transaction_unique_key").isNotNull() & F.col(AWARD_KEY).isNotNull())
+        .select(F.col("assistance_transaction_unique_key").alias("transaction_unique_key"), AWARD_KEY).distinct()
+        for p in parts
+    ]
+    counted = reduce(DataFrame.unionByName, pairs).groupBy("transaction_unique_key").agg(F.count(F.lit(1)).alias("n"))
+    return counted.filter(F.col("n") > 1).select("transaction_unique_key")
+
+
+def clustered_transactions(
+    actions: DataFrame,
+    loose: DataFrame,
+    orphan_keys: DataFrame,
+    shared_keys: DataFrame,
+    cfg: StudyConfig = DEFAULT_CONFIG,
+) -> DataFrame:
+    """The rows of transactions(), from rows clustered by award and the loose ones.
+
+    The clustered rows stay where they are: one row per key is chosen within the
+    award. Only rows whose key occurs under several awards, few as a rule, and
+    the loose ones are shuffled.
+    """
+
+    def known(part: DataFrame) -> DataFrame:
+        rows = transaction_rows(part).filter(F.col("award_unique_key").isNotNull())
+        return keep_unknown(rows, "award_unique_key", orphan_keys, unique=True).select(*rows.columns)
+
+    def first(rows: DataFrame, keys: list[str]) -> DataFrame:
+        return keep_one(rows, keys, whole_row_order(rows, ["action_date"]))
+
+    key = "transaction_unique_key"
+    here, there = known(actions), known(loose)
+    within = first(keep_unknown(here, key, shared_keys, unique=True), ["award_unique_key", key])
+    rest = there.unionByName(keep_known(here, key, shared_keys, unique=True).select(*here.columns))
+    return within.select(*here.columns).unionByName(first(rest, [key])).withColumn("pulled_at", load_time(cfg))
+
+
 def transactions(
     usaspending: DataFrame,
     awards: DataFrame | None = None,

@@ -7,13 +7,13 @@ folders, from Parquet or from anything else that yields the raw columns.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grantlens.config import DEFAULT_CONFIG, StudyConfig
 from grantlens.plans import bronze, dashboard, institutions, silver
+from grantlens.sources.publish import publish
 from grantlens.sources.readers import CheckedScan
 from grantlens.sources.store import TableSpec, TableStore
 
@@ -38,28 +38,38 @@ def table_specs(
             lambda s: silver.with_fiscal_year(bronze.usaspending(s.table("raw_usaspending"), cfg)),
             partition_by="fiscal_year",
             rebalance=False,
+            counters={"active": F.col("is_active"), "keyed": F.col("assistance_transaction_unique_key").isNotNull()},
         ),
-        "grants": TableSpec(lambda s: bronze.grants(s.table("raw_grants"))),
-        "tracker": TableSpec(lambda s: bronze.terminations(s.table("raw_tracker"))),
+        "grants": TableSpec(lambda s: bronze.grants(s.table("raw_grants")), counters={"active": F.col("is_active")}),
+        "tracker": TableSpec(lambda s: bronze.terminations(s.table("raw_tracker")), counters={"active": F.col("is_active")}),
+        # The same transactions clustered by award, but for those of no or of a very large award.
+        "hot_award_keys": TableSpec(lambda s: silver.hot_award_keys(s.table("usaspending"))),
+        "award_actions": TableSpec(
+            lambda s: silver.award_actions(s.table("usaspending"), s.table("hot_award_keys")),
+            bucket_by=silver.AWARD_KEY,
+        ),
+        "loose_actions": TableSpec(lambda s: silver.loose_actions(s.table("usaspending"), s.table("hot_award_keys"))),
         # Silver.
         "agencies": TableSpec(lambda s: silver.agencies(s.spark), stored=False),
         "recipients": TableSpec(lambda s: silver.recipients(s.table("usaspending"))),
         "opportunities": TableSpec(lambda s: silver.opportunities(s.table("grants"), cfg)),
-        "awards": TableSpec(lambda s: silver.awards(s.table("usaspending"), cfg=cfg)),
+        "awards": TableSpec(lambda s: awards_of(s, cfg), bucket_by="award_unique_key"),
         "orphan_award_keys": TableSpec(
-            lambda s: silver.orphan_award_keys(s.table("usaspending"), s.table("awards"))
+            lambda s: silver.orphan_award_keys(s.table("award_actions"), s.table("awards")).unionByName(
+                silver.orphan_award_keys(s.table("loose_actions"), s.table("awards"))
+            )
+        ),
+        "shared_transaction_keys": TableSpec(
+            lambda s: silver.shared_transaction_keys(s.table("award_actions"), s.table("loose_actions"))
         ),
         "transactions": TableSpec(
-            lambda s: silver.with_fiscal_year(
-                silver.transactions(
-                    s.table("usaspending"), cfg=cfg, orphan_keys=s.table("orphan_award_keys")
-                )
-            ),
+            lambda s: silver.with_fiscal_year(transactions_of(s, cfg)),
             partition_by="fiscal_year",
             sort_by=("action_date",),
         ),
         "terminations": TableSpec(
-            lambda s: silver.terminations(s.table("tracker"), s.table("awards"))
+            lambda s: silver.terminations(s.table("tracker"), s.table("awards")),
+            counters={"matched": F.col("award_id_fain").isNotNull()},
         ),
         # Gold.
         "choices": TableSpec(
@@ -92,6 +102,21 @@ def table_specs(
     }
 
 
+def rollup_of(store: TableStore, cfg: StudyConfig = DEFAULT_CONFIG) -> DataFrame:
+    """The award roll-up: clustered rows where they lie, loose ones by a shuffle."""
+    clustered = silver.award_rollup(store.table("award_actions"), cfg, clustered=True)
+    return clustered.unionByName(silver.award_rollup(store.table("loose_actions"), cfg))
+
+
+def awards_of(store: TableStore, cfg: StudyConfig = DEFAULT_CONFIG, recipients: DataFrame | None = None) -> DataFrame:
+    return silver.unique_awards(rollup_of(store, cfg), recipients, cfg)
+
+
+def transactions_of(store: TableStore, cfg: StudyConfig = DEFAULT_CONFIG) -> DataFrame:
+    names = ["award_actions", "loose_actions", "orphan_award_keys", "shared_transaction_keys"]
+    return silver.clustered_transactions(*[store.table(n) for n in names], cfg)
+
+
 SILVER = [
     "agencies",
     "recipients",
@@ -105,6 +130,26 @@ SILVER = [
 FEEDS = ["usaspending", "grants", "tracker"]
 
 
+def load_specs(
+    spark: SparkSession, usaspending: Scan, grants: Scan, tracker: Scan, cfg: StudyConfig = DEFAULT_CONFIG
+) -> dict[str, TableSpec]:
+    """table_specs over checked scans, with what each scan set aside.
+
+    Beside each feed there are its rejected rows, its unreadable values and the
+    files without a header: rejected_<feed>, unreadable_<feed>, left_out_<feed>.
+    """
+    scans = {n: f(spark) for n, f in zip(FEEDS, (usaspending, grants, tracker))}
+    specs = table_specs(*[lambda _, s=scans[n]: s.rows for n in FEEDS], cfg)
+    for name, scan in scans.items():
+        specs[f"rejected_{name}"] = TableSpec(lambda _, s=scan: s.quarantine)
+        specs[f"unreadable_{name}"] = TableSpec(lambda _, s=scan: s.unreadable, counters={"fields": F.col("n")})
+        specs[f"left_out_{name}"] = TableSpec(lambda _, s=scan: s.left_out)
+    return specs
+
+
+ASIDE = ["rejected", "unreadable", "left_out"]
+
+
 def load(
     spark: SparkSession,
     folder: str,
@@ -115,40 +160,41 @@ def load(
 ) -> TableStore:
     """Full reload of the silver tables below `folder`, a folder all executors see.
 
-    Beside each feed its rejected rows and its unreadable values are stored, as
-    rejected_<feed> and unreadable_<feed>; load_counters counts them.
+    The tables become a new published version: readers of the folder
+    (publish.open_store) see all of the old tables until all new ones are
+    there. load_counters says what was lost on the way.
     """
-    scans = {n: f(spark) for n, f in zip(FEEDS, (usaspending, grants, tracker))}
-    specs = table_specs(*[lambda _, s=scans[n]: s.rows for n in FEEDS], cfg)
-    for name, scan in scans.items():
-        specs[f"rejected_{name}"] = TableSpec(lambda _, s=scan: s.quarantine)
-        specs[f"unreadable_{name}"] = TableSpec(lambda _, s=scan: s.unreadable)
-    store = TableStore(spark, folder, specs)
-    for name in [*SILVER, *[f"{kind}_{n}" for n in FEEDS for kind in ("rejected", "unreadable")]]:
-        store.table(name)
-    return store
+    specs = load_specs(spark, usaspending, grants, tracker, cfg)
+    return publish(spark, folder, specs, [*SILVER, *[f"{kind}_{n}" for n in FEEDS for kind in ASIDE]])
 
 
 def load_counters(store: TableStore) -> DataFrame:
-    """(stage, counter, n): what each feed lost on its way, and the awards and transactions dropped."""
-    parts = []
+    """(stage, counter, n): what each feed lost on its way, and the awards and transactions dropped.
+
+    All of it was counted by the jobs that wrote the tables; nothing is read again.
+    """
+    rows = []
     for name in FEEDS:
-        unreadable = store.table(f"unreadable_{name}").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-        rejected = store.table(f"rejected_{name}").agg(F.count("*").alias("n"))
-        for counter, counted in (("rejected rows", rejected), ("unreadable fields", unreadable)):
-            parts.append(counted.select(F.lit(name).alias("stage"), F.lit(counter).alias("counter"), "n"))
-    return reduce(DataFrame.union, [*parts, dropped_counters(store)])
+        rows.append((name, "rejected rows", store.counters(f"rejected_{name}")["rows"]))
+        rows.append((name, "unreadable fields", store.counters(f"unreadable_{name}")["fields"]))
+        rows.append((name, "files left out", store.counters(f"left_out_{name}")["rows"]))
+    return counter_rows(store, [*rows, *dropped(store)])
+
+
+def counter_rows(store: TableStore, rows: list[tuple[str, str, int]]) -> DataFrame:
+    return store.spark.createDataFrame(rows, "stage string, counter string, n bigint")
 
 
-def dropped_counters(store: TableStore) -> DataFrame:
+def stage_counters(store: TableStore) -> DataFrame:
+    """(stage, counter, n): rows of each stage and its special ones, as counted by the writes."""
+    names = {"usaspending": ["rows", "active"], "grants": ["rows", "active"], "tracker": ["rows", "active"], "terminations": ["rows", "matched"]}
+    rows = [(name, c, store.counters(name)[c]) for name, counters in names.items() for c in counters]
+    return counter_rows(store, [*rows, *dropped(store)])
+
+
+def dropped(store: TableStore) -> list[tuple[str, str, int]]:
     """Awards and transactions of the feed that the conformed tables do not hold."""
-    bronze_rows = store.table("usaspending")
-    offered = {
-        "awards": bronze_rows.select(F.col("assistance_award_unique_key").alias("k")).filter("k is not null").distinct(),
-        "transactions": silver.transaction_rows(bronze_rows),
-    }
-    parts = []
-    for name, rows in offered.items():
-        signed = rows.select(F.lit(1).alias("n")).union(store.table(name).select(F.lit(-1)))
-        parts.append(signed.agg(F.sum("n").alias("n")).select(F.lit(name).alias("stage"), F.lit("dropped").alias("counter"), "n"))
-    return reduce(DataFrame.union, parts)
+    return [
+        ("awards", "dropped", store.counters("orphan_award_keys")["rows"]),
+        ("transactions", "dropped", store.counters("usaspending")["keyed"] - store.counters("transactions")["rows"]),
+    ]

@@ -3,38 +3,61 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RAW_LINE = "_raw_line"
-# Files whose headers one job reads.
-HEADERS_PER_JOB = 200
+# Files whose headers are read at the same time, each by a job that ends at its first line.
+HEADERS_AT_ONCE = 16
+FILES = T.StructType([T.StructField("file", T.StringType())])
 
 
 class CheckedScan(NamedTuple):
-    """A CSV feed in three parts.
+    """A CSV feed in four parts.
 
     rows: typed rows with the right number of fields; a field that does not
     parse is NULL. quarantine: the other rows, as text with their raw line.
     unreadable: (field, value, n), how often which text could not be read.
+    left_out: (file), the files without a header line, which hold no rows.
     """
 
     rows: DataFrame
     quarantine: DataFrame
     unreadable: DataFrame
+    left_out: DataFrame
+
+
+def _csv_reader(spark: SparkSession, multi_line: bool, trim: bool = False) -> DataFrameReader:
+    """trim passes over lines of white space only, which a reader of line breaks in fields else takes as rows."""
+    return (
+        spark.read.option("header", True)
+        .option("multiLine", multi_line)
+        .option("ignoreLeadingWhiteSpace", trim)
+        .option("quote", '"')
+        .option("escape", '"')
+    )
+
+
+def _header(spark: SparkSession, paths: str | list[str], multi_line: bool) -> tuple[tuple[str, ...], bool]:
+    """The column names, and whether lines of white space stand before them."""
+    names = tuple(_csv_reader(spark, multi_line).csv(paths).columns)
+    if names and not "".join(names).strip():
+        return tuple(_csv_reader(spark, multi_line, trim=True).csv(paths).columns), True
+    return names, False
 
 
 def _scan_text_columns(
-    spark: SparkSession, paths: str | list[str], names: list[str], multi_line: bool
+    spark: SparkSession, paths: str | list[str], names: tuple[str, ...], multi_line: bool, trim: bool
 ) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, RAW_LINE]])
     return (
-        spark.read.schema(schema)
-        .option("header", True)
+        _csv_reader(spark, multi_line, trim)
+        .schema(schema)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", RAW_LINE)
         # A row's field count must be checked whatever columns a query selects.
@@ -42,14 +65,11 @@ def _scan_text_columns(
         # Files of one group must agree on their header instead of being
         # aligned by position.
         .option("enforceSchema", False)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
         .csv(paths)
     )
 
 
-def _complete(names: list[str]) -> Column:
+def _complete(names: tuple[str, ...]) -> Column:
     """True for rows with the right number of fields.
 
     A raw line is never shorter than its own first field, so the comparison
@@ -74,12 +94,12 @@ def read_csv_checked(
     multi_line=True accepts line breaks in quoted fields, one task per file;
     set it to False for feeds without them, to split large files.
     """
-    header = spark.read.option("header", True).option("multiLine", multi_line).csv(paths).columns
+    header, trim = _header(spark, paths, multi_line)
     wanted = {f.name.lower(): f for f in schema.fields}
     present = [wanted[n.lower()] for n in header if n.lower() in wanted]
     typed = [f for f in present if not isinstance(f.dataType, T.StringType)]
 
-    scan = _scan_text_columns(spark, paths, header, multi_line)
+    scan = _scan_text_columns(spark, paths, header, multi_line, trim)
     complete = _complete(header)
     found = {f.name for f in present}
     texts = [
@@ -104,6 +124,7 @@ def read_csv_checked(
         scan.filter(complete).select(*columns),
         scan.filter(~complete).select(*texts, RAW_LINE),
         values.groupBy("field", "value").agg(F.count("*").alias("n")),
+        spark.createDataFrame([], FILES),
     )
 
 
@@ -112,10 +133,12 @@ def read_csv_groups(
     groups: Iterable[str | list[str]],
     schema: T.StructType,
     multi_line: bool = True,
+    left_out: Iterable[str] = (),
 ) -> CheckedScan:
     """Union CSV groups by column name, each of files with one header.
 
     Groups may differ in column order and may lack columns, which become NULL.
+    left_out names files that belong to no group.
     """
     scans = [read_csv_checked(spark, group, schema, multi_line) for group in groups]
     if not scans:
@@ -129,6 +152,7 @@ def read_csv_groups(
         union([s.rows for s in scans]),
         union([s.quarantine for s in scans]),
         unreadable.agg(F.sum("n").alias("n")),
+        spark.createDataFrame([(f,) for f in left_out], FILES),
     )
 
 
@@ -136,7 +160,10 @@ def read_csv_files(
     spark: SparkSession, paths: str | list[str], schema: T.StructType, multi_line: bool = True
 ) -> CheckedScan:
     """Like read_csv_groups, for folders whose files may each have their own header."""
-    return read_csv_groups(spark, header_groups(spark, paths), schema, multi_line)
+    by_header = files_by_header(spark, paths, multi_line)
+    left_out = [file for files in by_header.pop((), []) for file in files]
+    groups = [files for some in by_header.values() for files in some]
+    return read_csv_groups(spark, groups, schema, multi_line, left_out)
 
 
 def files_below(spark: SparkSession, paths: str | list[str]) -> list[str]:
@@ -145,22 +172,32 @@ def files_below(spark: SparkSession, paths: str | list[str]) -> list[str]:
     return sorted(r.path for r in listed.collect())
 
 
-def header_groups(spark: SparkSession, paths: str | list[str]) -> list[list[str]]:
-    """Files by their header line, for feeds whose layout drifts per file.
+def files_by_header(
+    spark: SparkSession, paths: str | list[str], multi_line: bool = True
+) -> dict[tuple[str, ...], list[list[str]]]:
+    """Groups of files by their column names, for feeds whose layout drifts per file.
 
-    One job per HEADERS_PER_JOB files reads the first line of each; data rows
-    stay where they are. Files without a header line are left out.
+    Spark reads each file's header as it does for the scan itself: the first
+    line that is not blank, whatever splits the file has. Data rows stay where
+    they are. Files without such a line come under the empty header; files of
+    no bytes are not listed at all.
     """
     files = files_below(spark, paths)
-    groups: dict[str, list[str]] = {}
-    for at in range(0, len(files), HEADERS_PER_JOB):
-        heads = [
-            spark.read.text(f).limit(1).select(F.lit(f).alias("file"), "value")
-            for f in files[at : at + HEADERS_PER_JOB]
-        ]
-        for row in reduce(DataFrame.unionAll, heads).collect():
-            groups.setdefault(row.value, []).append(row.file)
-    return [sorted(group) for header, group in groups.items() if header]
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        headers = list(pool.map(lambda file: _header(spark, file, multi_line), files))
+    alike: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for header, file in zip(headers, files):
+        alike.setdefault(header, []).append(file)
+    groups: dict[tuple[str, ...], list[list[str]]] = {}
+    for (names, _), some in alike.items():
+        groups.setdefault(names, []).append(some)
+    return groups
+
+
+def header_groups(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> list[list[str]]:
+    """The groups of files_by_header, without the files that have no header."""
+    by_header = files_by_header(spark, paths, multi_line)
+    return [files for header, groups in by_header.items() if header for files in groups]
 
 
 def read_parquet(

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from grantlens.driver import registry
+from grantlens.operators import joins
 from grantlens.plans import silver
 from tests.helpers import plan, records
 from tools import check
@@ -73,14 +74,35 @@ def test_results_do_not_depend_on_partition_counts(spark, name):
 
 
 def test_award_rollup_sorts_nothing_ahead_of_its_first_shuffle(spark):
-    """But for the descriptions, whose distinct values are sorted on their own."""
+    """But for the descriptions, which are reduced to one per award on their own."""
     store = registry.store_for(spark, SF)
     text = plan(silver.award_rollup(store.table("usaspending")))
     scans = [line for line in text.splitlines() if "Scan parquet" in line]
     assert len(scans) == 2
     for branch in text.split("FileScan")[:-1]:
         lowest = branch[branch.rfind("Exchange") :]
-        assert "Sort" not in lowest or "partial_min(transaction_description" in lowest
+        assert "Sort" not in lowest or "partial_min(description" in lowest
+
+
+def test_clustered_facts_are_not_shuffled(spark):
+    """Roll-up, orphan keys, kept rows and the foreign-key check read buckets and stay there."""
+    store = registry.store_for(spark, SF)
+    actions, awards = store.table("award_actions"), store.table("awards")
+    keys = [store.table(n) for n in ("orphan_award_keys", "shared_transaction_keys")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (
+            silver.award_rollup(actions, clustered=True),
+            silver.orphan_award_keys(actions, awards),
+            joins.flag_known(silver.transaction_rows(actions), "award_unique_key", awards, "kept", unique=True),
+        ):
+            assert "Exchange" not in plan(df) and "Bucketed: true" in plan(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    text = plan(silver.clustered_transactions(actions, store.table("loose_actions"), *keys))
+    within, rest = text.split("\n   +- ", 1)
+    assert "spark_catalog" in within and "Exchange hashpartitioning" not in within
+    assert rest.count("Exchange hashpartitioning") == 1
 
 
 def test_registered_pipeline_and_operators_are_optional():

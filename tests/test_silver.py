@@ -1,7 +1,10 @@
 from __future__ import annotations
 
-from grantlens.plans import silver
+import pytest
+
+from grantlens.plans import silver, tables
 from grantlens.sources import schemas
+from grantlens.sources.store import TableSpec, TableStore
 from tests.helpers import awards, column, day, frame, plan, recipients, records, usaspending
 
 
@@ -123,3 +126,50 @@ def test_terminations_lose_unknown_fains_but_stay(spark):
         (None, None, None),
     ]
     assert sorted(column(got, "termination_id")) == [1, 2, 3]
+
+
+def _actions(spark):
+    """Shared and repeated transaction keys, awards without FAIN, NULL keys, and a large award."""
+    rows = []
+    for k in range(60):
+        rows.append(
+            {
+                "assistance_transaction_unique_key": None if k % 17 == 0 else f"T{k % 23}",
+                "assistance_award_unique_key": None if k % 13 == 0 else f"A{k % 7 if k % 3 else 0}",
+                "award_id_fain": None if k % 7 == 5 else f"F{k % 7}",
+                "recipient_uei": "" if k % 11 == 0 else f"U{k % 4}",
+                "cfda_number": "47.050" if k % 2 else None,
+                "action_date": day(f"2025-{1 + k % 12:02d}-01"),
+                "federal_action_obligation": float(k),
+                "total_obligated_amount": float(k % 9),
+                "transaction_description": f"text {k % 5}",
+            }
+        )
+    return usaspending(spark, *rows)
+
+
+@pytest.mark.parametrize("hot", [3, 10, 1000])
+def test_clustered_plans_equal_the_plain_ones(spark, tmp_path, hot):
+    raw = _actions(spark)
+    specs = tables.table_specs(lambda _: raw, lambda _: frame(spark, schemas.GRANTS, []), lambda _: frame(spark, schemas.TERMINATIONS, []))
+    specs["hot_award_keys"] = TableSpec(lambda s: silver.hot_award_keys(s.table("usaspending"), hot))
+    store = TableStore(spark, f"file:{tmp_path}", specs)
+    loose = store.table("loose_actions")
+    assert store.table("award_actions").count() + loose.count() == 60
+    held = raw.groupBy(silver.AWARD_KEY).count().filter(f"{silver.AWARD_KEY} is not null and count > {hot}")
+    assert loose.filter(f"{silver.AWARD_KEY} is not null").count() == sum(r["count"] for r in held.collect())
+    plain = silver.award_rollup(raw)
+    assert records(tables.rollup_of(store), *plain.columns) == records(plain, *plain.columns)
+    awards = silver.awards(raw).drop("pulled_at")
+    assert records(store.table("awards"), *awards.columns) == records(awards, *awards.columns)
+    rows = silver.transactions(raw, awards)
+    assert records(tables.transactions_of(store), *rows.columns) == records(rows, *rows.columns)
+    assert store.counters("usaspending")["rows"] == 60
+
+
+def test_award_states_merge(spark):
+    raw = _actions(spark)
+    parts = [silver.award_states(raw.filter(f"month(action_date) % 3 = {k}")) for k in range(3)]
+    merged = silver.finished_awards(silver.merged_states(parts[0].unionByName(parts[1]).unionByName(parts[2])))
+    whole = silver.award_rollup(raw)
+    assert records(merged, *whole.columns) == records(whole, *whole.columns)

@@ -47,6 +47,35 @@ def test_files_are_grouped_by_header(spark, tmp_path):
     assert records(rows, "id", "name", "n") == [("1", "a", 5), ("2", "b", None), ("3", "c", 7)]
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_no_file_is_lost(spark, tmp_path, multi_line):
+    """Blank first lines, quoted headers, many splits, only a header, nothing at all."""
+    files = {
+        "plain": "id,name,n,d\n1,a,5,2025-01-01\n",
+        "blank": "\n  \nname,id\nb,2\n",
+        "quoted": '"id","name","n","d"\n3,c,7,\n',
+        "header": "id,name,n,d\n",
+        "windows": "id,name\r\n4,d\r\n",
+        "large": "name,id\n" + "e,5\n" * 50_000,
+        "empty": "",
+        "lines": "\n\n",
+    }
+    (tmp_path / "c").mkdir()
+    for name, text in files.items():
+        (tmp_path / "c" / f"{name}.csv").write_text(text, newline="")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        scan = readers.read_csv_files(spark, f"file:{tmp_path}/c", SMALL, multi_line)
+        got = scan.rows.groupBy("id", "name").count()
+        assert records(got, "id", "name", "count") == [
+            ("1", "a", 1), ("2", "b", 1), ("3", "c", 1), ("4", "d", 1), ("5", "e", 50_000),
+        ]
+        assert scan.quarantine.count() == 0
+        assert sorted(r.file.rsplit("/", 1)[1] for r in scan.left_out.collect()) == ["lines.csv"]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 @pytest.mark.parametrize("multi_line", [True, False])
 def test_rejected_rows_do_not_depend_on_the_columns_read(spark, tmp_path, multi_line):
     path = write(
@@ -166,16 +195,32 @@ def test_shared_folder_is_named_by_the_session(spark):
         spark.conf.unset("spark.grantlens.warehouse")
 
 
+class Session:
+    """A session that names no folder but Spark's own."""
+
+    conf = sparkContext = property(lambda self: self)
+    applicationId = "app-1"
+
+    def __init__(self, folder, master="yarn"):
+        self.folder, self.master = folder, master
+
+    def getConf(self):
+        return self
+
+    def get(self, key, default=None):
+        return self.folder if key == "spark.sql.warehouse.dir" else default
+
+
 def test_spark_names_the_folder_where_nothing_else_does():
-    class Session:
-        conf = sparkContext = property(lambda self: self)
-        applicationId = "app-1"
-        getConf = lambda self: self
+    assert shared_folder(Session("hdfs:///warehouse")) == "hdfs:///warehouse/grantlens/app-1"
+    assert shared_folder(Session("file:/home/x/w", "local[4]")) == "file:/home/x/w/grantlens/app-1"
 
-        def get(self, key, default=None):
-            return "hdfs:///warehouse" if key == "spark.sql.warehouse.dir" else default
 
-    assert shared_folder(Session()) == "hdfs:///warehouse/grantlens/app-1"
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[2,1,1024]", "spark://host:7077"])
+def test_a_folder_of_one_machine_is_no_shared_folder(master):
+    for folder in ("file:/home/x/spark-warehouse", "/home/x/spark-warehouse"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(Session(folder, master))
 
 
 def test_seed_rows_that_repeat_a_key_count_once(spark):

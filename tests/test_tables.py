@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from grantlens.plans import bronze, tables, views
-from grantlens.sources import schemas, writers
+from grantlens.sources import publish, schemas, writers
 from tests.helpers import day, frame, records
 
 
@@ -42,6 +42,7 @@ def test_load_from_csv(spark, tmp_path):
     (tmp_path / "y3" / "late.csv").write_text(
         "award_id_fain,assistance_transaction_unique_key,federal_action_obligation\nF1,9,oops\nF1,8\n"
     )
+    (tmp_path / "y3" / "blank.csv").write_text("\n\n")
     years.append(f"file:{tmp_path}/y3")
     cut = csv("t", schemas.TERMINATIONS, [{"grant_id": "F1", "abstract": "a\nb"}, {"grant_id": "F9"}])
     store = tables.load(
@@ -68,5 +69,10 @@ def test_load_from_csv(spark, tmp_path):
     assert records(store.table("terminations"), "award_id_fain") == [("F1",), (None,)]
     lost = {(r.stage, r.counter): r.n for r in tables.load_counters(store).collect()}
     assert lost["usaspending", "rejected rows"] == 1 and lost["usaspending", "unreadable fields"] == 1
+    assert lost["usaspending", "files left out"] == 1 and lost["grants", "files left out"] == 0
     assert lost["grants", "rejected rows"] == 0 and lost["transactions", "dropped"] == 3
     assert records(store.table("unreadable_usaspending"), "field", "value") == [("federal_action_obligation", "oops")]
+    # All of it comes from the writes: a reader of the published tables has it, too, without the feeds.
+    opened = publish.open_store(spark, f"file:{tmp_path}/warehouse")
+    assert opened.spark is spark and sorted(tables.load_counters(opened).collect()) == sorted(tables.load_counters(store).collect())
+    assert records(opened.table("awards"), "award_unique_key") == records(store.table("awards"), "award_unique_key")
