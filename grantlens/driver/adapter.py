@@ -8,6 +8,8 @@ shared FAINs, NULL states, unparsable dates and amounts, exact copies.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -234,3 +236,23 @@ def new_snapshot(opportunities: DataFrame) -> DataFrame:
             "estimated_total_funding": F.expr(NEW_FUNDING),
         }
     )
+
+
+# Four pulls in a row, each (row filter, changed columns). Some opportunities vanish and return.
+PULLS = [
+    (OLD_SNAPSHOT, {}),
+    (NEW_SNAPSHOT, {"title": NEW_TITLE, "close_date": NEW_CLOSE_DATE, "estimated_total_funding": NEW_FUNDING}),
+    (f"{OLD_SNAPSHOT} AND CAST(opportunity_id AS BIGINT) % 7 <> 0", {"title": NEW_TITLE}),
+    ("CAST(opportunity_id AS BIGINT) % 5 <> 0 OR CAST(opportunity_id AS BIGINT) % 13 = 0", {"close_date": NEW_CLOSE_DATE}),
+]
+# Pulls are numbered 10, 20, ...: ids say their order, not their distance.
+PULL_IDS = [10 * (k + 1) for k in range(len(PULLS))]
+
+
+def pulls(opportunities: DataFrame) -> DataFrame:
+    """The rows of all four pulls, with their snapshot_id."""
+    parts = [
+        opportunities.filter(where).withColumns({n: F.expr(e) for n, e in rules.items()}).withColumn("snapshot_id", F.lit(k))
+        for k, (where, rules) in zip(PULL_IDS, PULLS)
+    ]
+    return reduce(DataFrame.unionByName, parts)

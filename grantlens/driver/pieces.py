@@ -27,7 +27,18 @@ from grantlens.functions import classify, flags, text
 from grantlens.functions.numbers import count_where, money, percent, row_count, sum_where
 from grantlens.operators import joins, quality
 from grantlens.operators.rows import in_window, keep_one, whole_row_order, with_surrogate_key
-from grantlens.plans import bronze, changes, dashboard, institutions, silver, tables, views
+from grantlens.plans import (
+    bronze,
+    changes,
+    dashboard,
+    distinct,
+    increments,
+    institutions,
+    keys,
+    silver,
+    tables,
+    views,
+)
 from grantlens.sources import publish, readers, schemas, writers
 from grantlens.sources.store import TableSpec, TableStore
 
@@ -249,7 +260,7 @@ def snk7(s: TableStore) -> DataFrame:
     names = views.register_views(
         s.table("opportunities"),
         s.table("awards"),
-        s.table("transactions"),
+        s.table("monthly_cube"),
         s.table("terminations"),
         s.table("recipients"),
         s.table("change_log"),
@@ -388,6 +399,43 @@ def prj5(s: TableStore) -> DataFrame:
     )
 
 
+FIRST_LOAD = "grant_id IS NULL OR length(grant_id) + CAST(right(grant_id, 1) AS INTEGER) % 3 <> 6"
+
+
+@query(
+    "prj5_key_register",
+    f"""
+    SELECT award_id_fain, n, n AS n_ids, if(first_n > 0, first_n, NULL) AS n_kept, 0::BIGINT AS n_moved FROM (
+        SELECT grant_id AS award_id_fain, count(*) AS n, count(*) FILTER ({FIRST_LOAD}) AS first_n FROM tracker GROUP BY 1
+    )
+    UNION ALL SELECT 'highest id', count(*), count(*), NULL, NULL FROM tracker
+    """,
+)
+def prj5_register(s: TableStore) -> DataFrame:
+    """Two loads: rows of the first keep their ids in the second, whose other columns changed."""
+    tracker, by, path = s.table("tracker"), ["award_id_fain"], s.path("keys/terminations")
+    first = silver.termination_rows(tracker.filter(FIRST_LOAD))
+    second = silver.termination_rows(tracker).withColumn("current_status", F.upper("current_status"))
+    register = keys.empty_register(first, by, "id")
+    for mode, rows in (("overwrite", first), ("append", second)):
+        writers.write_parquet(keys.new_keys(register, rows, by, "id"), path, mode=mode)
+        register = readers.read_parquet(s.spark, path, register.schema)
+    before = keys.with_registered_key(first, register, by, "id").select("award_id_fain", F.col("id").alias("old_id"))
+    after = keys.with_registered_key(second, register, by, "id")
+    numbered = after.join(before, after["id"] == before["old_id"], "left").select(
+        after["award_id_fain"], "id", "old_id", before["award_id_fain"].alias("old_fain")
+    )
+    moved = F.col("old_id").isNotNull() & ~F.col("award_id_fain").eqNullSafe(F.col("old_fain"))
+    kept = numbered.groupBy("award_id_fain").agg(
+        F.count("*").alias("n"),
+        F.countDistinct("id").alias("n_ids"),
+        F.nullif(F.count("old_id"), F.lit(0)).alias("n_kept"),
+        count_where(moved).alias("n_moved"),
+    )
+    none = F.lit(None).cast("bigint")
+    return kept.union(after.agg(F.max("id").alias("n")).select(F.lit("highest id"), "n", "n", none, none))
+
+
 # -- filters -------------------------------------------------------------------
 
 
@@ -866,6 +914,45 @@ def ag1(s: TableStore) -> DataFrame:
     return tables.rollup_of(s, CFG)
 
 
+def _yearly(s: TableStore, name: str, build: Callable[[DataFrame], DataFrame]) -> tuple[increments.PartitionStates, list[list[str]]]:
+    """States after three refreshes: of the years before 2025, with the later ones added, and once more."""
+    rows, source = s.table("usaspending"), s.path(f"increments/{name}/feed")
+    states = increments.PartitionStates(s.spark, s.path(f"increments/{name}"), build)
+    late = F.coalesce(F.col("fiscal_year") >= 2025, F.lit(False))
+    writers.write_parquet(rows.filter(~late), source, "fiscal_year")
+    read = [states.refresh(source)]
+    writers.replace_partitions(rows.filter(late), source, "fiscal_year")
+    return states, [*read, states.refresh(source), states.refresh(source)]
+
+
+@query("ag1_yearly_states", "SELECT * FROM award_rollup")
+def ag1_yearly(s: TableStore) -> DataFrame:
+    """The roll-up merged from yearly states; the later years were added to those of the earlier ones."""
+    states, _ = _yearly(s, "awards", silver.award_states)
+    return silver.finished_awards(silver.merged_states(states.states().drop("part")), CFG)
+
+
+@query("ag2_yearly_states", "SELECT * FROM recipients")
+def ag2_yearly(s: TableStore) -> DataFrame:
+    states, _ = _yearly(s, "recipients", silver.recipient_states)
+    return silver.merged_recipients(states.states().drop("part"))
+
+
+@query(
+    "snk4_refreshed_years",
+    """
+    SELECT 1 AS refresh, CAST(year(action_date) + if(month(action_date) >= 10, 1, 0) AS VARCHAR) AS part
+    FROM usaspending WHERE year(action_date) + if(month(action_date) >= 10, 1, 0) < 2025 GROUP BY 2
+    UNION ALL SELECT 2, CAST(year(action_date) + if(month(action_date) >= 10, 1, 0) AS VARCHAR)
+    FROM usaspending WHERE year(action_date) + if(month(action_date) >= 10, 1, 0) >= 2025 GROUP BY 2
+    """,
+)
+def snk4_years(s: TableStore) -> DataFrame:
+    """Which years each refresh read: the old ones, the new ones, none."""
+    _, read = _yearly(s, "counts", lambda rows: rows.agg(F.count("*").alias("n")))
+    return s.spark.createDataFrame([(k, part) for k, parts in enumerate(read, 1) for part in parts], "refresh int, part string")
+
+
 @query(
     "ag5_filtered_counts",
     """
@@ -918,7 +1005,7 @@ def ag6(s: TableStore) -> DataFrame:
     """,
 )
 def ag9(s: TableStore) -> DataFrame:
-    return views.new_awards_by_half(s.table("transactions"), CFG)
+    return views.new_awards_by_half(s.table("monthly_cube"), CFG)
 
 
 @query(
@@ -948,6 +1035,26 @@ def ag11(s: TableStore) -> DataFrame:
     )
 
 
+@query(
+    "ag11_merged_distinct_sets",
+    """
+    SELECT cfda_number, count(DISTINCT award_unique_key) AS n_awards,
+           count(DISTINCT award_unique_key) FILTER (action_date >= DATE '2024-10-01' AND action_date < DATE '2025-04-01') AS n_prior,
+           count(DISTINCT recipient_uei) FILTER (action_date >= DATE '2025-10-01' AND action_date < DATE '2026-04-01') AS n_current_recipients
+    FROM transactions GROUP BY 1
+    """,
+)
+def ag11_sets(s: TableStore) -> DataFrame:
+    """Distinct awards and recipients of any months, from stored bitmaps."""
+    by = "cfda_number"
+    awards, recipients = s.table("award_sets"), s.table("recipient_sets")
+    counted = distinct.distinct_in(awards, by, "n_awards")
+    for sets, name, window in ((awards, "n_prior", CFG.prior_half), (recipients, "n_current_recipients", CFG.current_half)):
+        part = distinct.distinct_in(sets, by, name, window).withColumnRenamed(by, "_by")
+        counted = counted.join(part, F.col(by).eqNullSafe(F.col("_by")), "left").drop("_by")
+    return counted.fillna(0, ["n_prior", "n_current_recipients"])
+
+
 @query("ag12_ordered_member_lists", "SELECT canonical_name, state_code, ueis FROM choices")
 def ag12(s: TableStore) -> DataFrame:
     return s.table("choices").select("canonical_name", "state_code", "ueis")
@@ -967,7 +1074,7 @@ def ag12(s: TableStore) -> DataFrame:
     """,
 )
 def ag22(s: TableStore) -> DataFrame:
-    tables = [s.table(n) for n in ["transactions", "terminations", "awards", "recipients"]]
+    tables = [s.table(n) for n in ["monthly_cube", "terminations", "awards", "recipients"]]
     timeline = dashboard.phase_timeline(*tables, CFG)
     return dashboard.half_year_change(timeline, tables[0], tables[3], CFG)
 

@@ -224,7 +224,7 @@ def v7(s: TableStore) -> DataFrame:
     """,
 )
 def v8(s: TableStore) -> DataFrame:
-    return views.directorate_resilience(s.table("transactions"), s.table("opportunities"), CFG)
+    return views.directorate_resilience(s.table("monthly_cube"), s.table("opportunities"), CFG)
 
 
 MONTHLY_SQL = f"""
@@ -240,7 +240,7 @@ MONTHLY_SQL = f"""
 
 @query("v9_monthly_obligations", MONTHLY_SQL)
 def v9(s: TableStore) -> DataFrame:
-    return views.monthly_obligations(s.table("transactions"))
+    return views.monthly_obligations(s.table("monthly_cube"))
 
 
 # -- dashboard -----------------------------------------------------------------
@@ -284,7 +284,7 @@ PRE_POST_SQL = f"""
 def d2(s: TableStore) -> DataFrame:
     terminations, awards, recipients = _scope(s)
     return dashboard.pre_post_by_directorate(
-        s.table("transactions"), awards, terminations, recipients, CFG, s.table("funded_directorates")
+        s.table("monthly_cube"), awards, terminations, recipients, CFG, s.table("funded_directorates")
     )
 
 
@@ -313,7 +313,7 @@ TIMELINE_SQL = f"""
 
 @query("d3_phase_timeline", TIMELINE_SQL + "SELECT * FROM timeline")
 def d3(s: TableStore) -> DataFrame:
-    return dashboard.phase_timeline(s.table("transactions"), *_scope(s), CFG)
+    return dashboard.phase_timeline(s.table("monthly_cube"), *_scope(s), CFG)
 
 
 @query(
@@ -599,7 +599,7 @@ def d14(s: TableStore) -> DataFrame:
 )
 def d15(s: TableStore) -> DataFrame:
     halves = dashboard.half_year_change(
-        s.table("timeline"), s.table("transactions"), s.table("recipients"), CFG
+        s.table("timeline"), s.table("monthly_cube"), s.table("recipients"), CFG
     )
     return dashboard.headline_kpis(
         s.table("termination_totals"), halves, s.table("pre_post"), CFG
@@ -646,7 +646,7 @@ def d16(s: TableStore) -> DataFrame:
     """,
 )
 def x1(s: TableStore) -> DataFrame:
-    return baselines.same_month_baseline(s.table("transactions"), s.table("recipients"), CFG)
+    return baselines.same_month_baseline(s.table("monthly_cube"), s.table("recipients"), CFG)
 
 
 @query("x2_untracked_disruption", "SELECT * FROM untracked")
@@ -746,6 +746,76 @@ def x6(s: TableStore) -> DataFrame:
     return register.withColumn("snapshot_date", F.date_format("snapshot_date", "yyyy-MM-dd HH:mm:ss"))
 
 
+def _pull_sql(k: int) -> str:
+    where, rules = adapter.PULLS[k]
+    replaced = ", ".join(f"{e} AS {n}" for n, e in rules.items())
+    star = f"* REPLACE ({replaced})" if rules else "*"
+    return f"pull{k} AS (SELECT {star} FROM opportunities WHERE {where})"
+
+
+def _step_sql(k: int) -> str:
+    """Changes from pull k to the next one, field by field."""
+    edits = [
+        f"""SELECT opportunity_id, 'MODIFIED' AS change_type, '{name}' AS field_changed, {a} AS old_value, {b} AS new_value
+        FROM both{k} WHERE NOT fresh AND NOT gone AND {a} IS DISTINCT FROM {b}"""
+        for name, a, b in (("title", "t1", "t2"), ("close_date", "c1", "c2"), ("estimated_total_funding", "f1", "f2"))
+    ]
+    amount = "CAST(CAST({}.estimated_total_funding AS DECIMAL(18,2)) AS VARCHAR) AS {}"
+    return f"""both{k} AS (
+        SELECT coalesce(a.opportunity_id, b.opportunity_id) AS opportunity_id, a.opportunity_id IS NULL AS fresh,
+               b.opportunity_id IS NULL AS gone, a.title AS t1, b.title AS t2, CAST(a.close_date AS VARCHAR) AS c1,
+               CAST(b.close_date AS VARCHAR) AS c2, {amount.format("a", "f1")}, {amount.format("b", "f2")}
+        FROM pull{k} AS a FULL JOIN pull{k + 1} AS b ON a.opportunity_id = b.opportunity_id
+    ), step{k} AS (
+        SELECT opportunity_id, if(fresh, 'ADDED', 'REMOVED') AS change_type, NULL::VARCHAR AS field_changed,
+               NULL::VARCHAR AS old_value, NULL::VARCHAR AS new_value FROM both{k} WHERE fresh OR gone
+        UNION ALL {" UNION ALL ".join(edits)}
+    )"""
+
+
+_STEPS = range(len(adapter.PULLS) - 1)
+_PULLS_SQL = ", ".join(_pull_sql(k) for k in range(len(adapter.PULLS)))
+
+
+@query(
+    "x7_snapshot_chain",
+    f""", {_PULLS_SQL}, {", ".join(map(_step_sql, _STEPS))}
+    {" UNION ALL ".join(
+        f"SELECT *, CAST({adapter.PULL_IDS[k + 1]} AS INTEGER) AS snapshot_id, '2026-04-06 00:00:00' AS snapshot_date, "
+        f"'2026-04-06 00:00:00' AS detected_at FROM step{k}" for k in _STEPS)}
+    """,
+)
+def x7(s: TableStore) -> DataFrame:
+    """Four pulls, each against the one before, in one pass."""
+    pulls = adapter.pulls(s.table("opportunities"))
+    found = changes.chain_changes(pulls, pulls, CFG)
+    return found.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("snapshot_date", "detected_at")})
+
+
+@query(
+    "x8_seen_snapshots",
+    f""", {_PULLS_SQL}, held AS (
+        {" UNION ALL ".join(f"SELECT opportunity_id, {k} AS k FROM pull{k}" for k in range(len(adapter.PULLS)))}
+    ), stays AS (
+        SELECT opportunity_id, k, k - row_number() OVER (PARTITION BY opportunity_id ORDER BY k) AS island FROM held
+    ), seen AS (
+        SELECT opportunity_id, CAST(10 * (min(k) + 1) AS INTEGER) AS first_id, CAST(10 * (max(k) + 1) AS INTEGER) AS last_id,
+               count(*) AS n_pulls, count(DISTINCT island) AS n_stays
+        FROM stays GROUP BY 1
+    )
+    SELECT o.* REPLACE (first_id AS first_seen_snapshot_id, last_id AS last_seen_snapshot_id), n_pulls, n_stays
+    FROM opportunities AS o LEFT JOIN seen USING (opportunity_id)
+    """,
+)
+def x8(s: TableStore) -> DataFrame:
+    """Opportunities with the pulls that held them, and how often they came back."""
+    opportunities = s.table("opportunities")
+    pulls = adapter.pulls(opportunities)
+    seen = changes.seen_snapshots(pulls, pulls)
+    counts = seen.select("opportunity_id", "n_pulls", "n_stays")
+    return changes.with_seen_snapshots(opportunities, seen).join(counts, "opportunity_id", "left")
+
+
 # -- shared inputs -------------------------------------------------------------
 
 

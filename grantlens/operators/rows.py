@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from grantlens.functions.flags import fiscal_years_of, within
 
 FISCAL_YEAR = "fiscal_year"
+# Marks a table whose rows stand for all transactions of a month.
+ACTIONS = "n_actions"
 
 
 def keep_one(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -29,8 +31,15 @@ def whole_row_order(df: DataFrame, first: list[str] | None = None) -> list[Colum
     return [F.col(c).asc_nulls_last() for c in [*head, *(c for c in df.columns if c not in head)]]
 
 
+def check_months(df: DataFrame, *windows: tuple[dt.date, dt.date]) -> None:
+    """Monthly rows cannot be cut within a month."""
+    if ACTIONS in df.columns and any(day.day != 1 for window in windows for day in window):
+        raise ValueError(f"monthly rows cannot answer for {windows}; take the transactions")
+
+
 def in_window(df: DataFrame, day: str, window: tuple[dt.date, dt.date]) -> DataFrame:
     """Half-open date range; reads only its fiscal years where df has them."""
+    check_months(df, window)
     condition = within(F.col(day), window)
     if FISCAL_YEAR in df.columns:
         condition = condition & F.col(FISCAL_YEAR).between(*fiscal_years_of(window))
@@ -39,6 +48,7 @@ def in_window(df: DataFrame, day: str, window: tuple[dt.date, dt.date]) -> DataF
 
 def in_any_window(df: DataFrame, day: str, *windows: tuple[dt.date, dt.date]) -> DataFrame:
     """Rows in at least one of the half-open ranges, in one scan of their fiscal years."""
+    check_months(df, *windows)
     condition = within(F.col(day), windows[0])
     for window in windows[1:]:
         condition = condition | within(F.col(day), window)

@@ -30,6 +30,7 @@ from grantlens.operators.boxplot import box_stats, outliers
 from grantlens.operators.joins import key_set
 from grantlens.operators.quality import side_by_side, table_counts
 from grantlens.operators.rows import in_any_window, in_window
+from grantlens.plans.cube import actions
 from grantlens.plans.silver import topic_order
 
 NO_VALUE = "(none)"
@@ -213,13 +214,13 @@ def phase_timeline(
     amount = F.col("federal_action_obligation")
     is_new = F.coalesce(F.col("action_type_description") == "NEW", F.lit(False))
     lost = F.coalesce(amount < 0, F.lit(False))
-    actions = in_window(transactions, "action_date", cfg.timeline).filter(is_new | lost)
+    rows = in_window(transactions, "action_date", cfg.timeline).filter(is_new | lost)
     money_side = academic_transactions(
-        actions,
+        rows,
         recipients,
         {"month": flags.month_of(F.col("action_date"))},
         [
-            count_where(is_new).alias("n_new"),
+            actions(transactions, is_new).alias("n_new"),
             sum_where(is_new & (amount > 0), amount).alias("new_amount"),
             sum_where(lost, amount).alias("clawback"),
         ],

@@ -93,7 +93,12 @@ def recipients(usaspending: DataFrame) -> DataFrame:
     The whole row is taken, so a NULL in the latest transaction stays NULL.
     Undated transactions come last; remaining ties go by the other columns.
     """
-    rows = usaspending.filter(flags.has_key(F.col("recipient_uei"))).select(
+    return finished_recipients(_latest(recipient_rows(usaspending)))
+
+
+def recipient_rows(usaspending: DataFrame) -> DataFrame:
+    """What recipients are taken from, with the date and key that order a recipient's transactions."""
+    return usaspending.filter(flags.has_key(F.col("recipient_uei"))).select(
         "recipient_uei",
         "recipient_name",
         F.col("recipient_state_code").alias("state_code"),
@@ -103,8 +108,25 @@ def recipients(usaspending: DataFrame) -> DataFrame:
         F.col("action_date").alias("_dated"),
         F.col("assistance_transaction_unique_key").alias("_key"),
     )
+
+
+def _latest(rows: DataFrame) -> DataFrame:
     latest = [F.col("_dated").desc_nulls_last(), *whole_row_order(rows.drop("_dated"), ["_key"])]
-    return keep_one(rows, ["recipient_uei"], latest).select(
+    return keep_one(rows, ["recipient_uei"], latest)
+
+
+def recipient_states(usaspending: DataFrame) -> DataFrame:
+    """The latest row of each recipient in a part of the transactions: a state that merges with others of its kind."""
+    return _latest(recipient_rows(usaspending))
+
+
+def merged_recipients(states: DataFrame) -> DataFrame:
+    """Recipients from the states of any parts of the transactions."""
+    return finished_recipients(_latest(states))
+
+
+def finished_recipients(latest: DataFrame) -> DataFrame:
+    return latest.select(
         "recipient_uei",
         "recipient_name",
         F.lit(None).cast("string").alias("parent_uei"),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grantlens.config import DEFAULT_CONFIG, StudyConfig
-from grantlens.plans import bronze, dashboard, institutions, silver
+from grantlens.plans import bronze, cube, dashboard, distinct, institutions, silver
 from grantlens.sources.publish import publish
 from grantlens.sources.readers import CheckedScan
 from grantlens.sources.store import TableSpec, TableStore
@@ -83,12 +83,24 @@ def table_specs(
             )
         ),
         "termination_totals": TableSpec(lambda s: dashboard.termination_totals(*scope(s), cfg)),
+        "monthly_cube": TableSpec(
+            lambda s: silver.with_fiscal_year(cube.monthly_cube(s.table("transactions"))), partition_by="fiscal_year"
+        ),
+        # Distinct awards and recipients of each month and listing, as sets that can be united.
+        "award_ids": TableSpec(lambda s: distinct.dense_ids(s.table("awards"), "award_unique_key")),
+        "recipient_ids": TableSpec(lambda s: distinct.dense_ids(s.table("transactions"), "recipient_uei")),
+        "award_sets": TableSpec(
+            lambda s: distinct.monthly_sets(s.table("transactions"), s.table("award_ids"), "cfda_number", "award_unique_key")
+        ),
+        "recipient_sets": TableSpec(
+            lambda s: distinct.monthly_sets(s.table("transactions"), s.table("recipient_ids"), "cfda_number", "recipient_uei")
+        ),
         "funded_directorates": TableSpec(
-            lambda s: dashboard.funded_directorates(s.table("transactions"), s.table("recipients"), cfg)
+            lambda s: dashboard.funded_directorates(s.table("monthly_cube"), s.table("recipients"), cfg)
         ),
         "pre_post": TableSpec(
             lambda s: dashboard.pre_post_by_directorate(
-                s.table("transactions"),
+                s.table("monthly_cube"),
                 s.table("awards"),
                 s.table("terminations"),
                 s.table("recipients"),
@@ -97,7 +109,7 @@ def table_specs(
             )
         ),
         "timeline": TableSpec(
-            lambda s: dashboard.phase_timeline(s.table("transactions"), *scope(s), cfg)
+            lambda s: dashboard.phase_timeline(s.table("monthly_cube"), *scope(s), cfg)
         ),
     }
 
@@ -123,6 +135,7 @@ SILVER = [
     "opportunities",
     "awards",
     "transactions",
+    "monthly_cube",
     "terminations",
 ]
 

@@ -17,6 +17,8 @@ from grantlens.functions.numbers import (
     sum_where,
 )
 from grantlens.operators.joins import flag_list_overlap
+from grantlens.operators.rows import in_any_window
+from grantlens.plans.cube import actions
 
 
 def rescinded_opportunities(
@@ -172,18 +174,15 @@ def new_awards_by_half(transactions: DataFrame, cfg: StudyConfig) -> DataFrame:
     """Counts and sums of NEW actions in both half-years, in one pass."""
     prior = flags.within(F.col("action_date"), cfg.prior_half)
     current = flags.within(F.col("action_date"), cfg.current_half)
-    either = prior | current
-    if "fiscal_year" in transactions.columns:
-        years = {*flags.fiscal_years_of(cfg.prior_half), *flags.fiscal_years_of(cfg.current_half)}
-        either = either & F.col("fiscal_year").isin(sorted(years))
     amount = F.col("federal_action_obligation")
+    new = transactions.filter(F.col("action_type_description") == "NEW")
     return (
-        transactions.filter((F.col("action_type_description") == "NEW") & either)
+        in_any_window(new, "action_date", cfg.prior_half, cfg.current_half)
         .groupBy(F.col("awarding_sub_agency_name").alias("directorate"))
         .agg(
-            count_where(prior).alias("fy25_new_count"),
+            actions(transactions, prior).alias("fy25_new_count"),
             money(sum_where(prior, amount)).alias("fy25_new_oblig"),
-            count_where(current).alias("fy26_new_count"),
+            actions(transactions, current).alias("fy26_new_count"),
             money(F.coalesce(sum_where(current, amount), F.lit(0))).alias("fy26_new_oblig"),
         )
     )
@@ -235,11 +234,11 @@ def monthly_obligations(transactions: DataFrame) -> DataFrame:
             F.col("awarding_sub_agency_name").alias("directorate"),
         )
         .agg(
-            row_count().alias("n_transactions"),
+            actions(transactions).alias("n_transactions"),
             money(F.sum(amount)).alias("net_obligation"),
             money(F.sum(gained)).alias("gross_obligated"),
             money(F.abs(F.sum(lost))).alias("gross_deobligated"),
-            count_where(amount < 0).alias("n_deobligations"),
+            actions(transactions, amount < 0).alias("n_deobligations"),
         )
         .orderBy("month", "directorate")
     )
