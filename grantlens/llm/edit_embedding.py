@@ -21,10 +21,9 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from grantlens.llm.common import load, map_steps, raw_text, saved, steps
+from grantlens.llm.common import broadcast_if_small, load, map_steps, raw_text, saved, steps
 from grantlens.llm.components import connected
 
 SEED = 20_011
@@ -34,6 +33,10 @@ SAMPLES = 32
 OCTAVES = 40
 BANDS, BAND_PLACES = 6, 6
 LIKENESS = 0.8
+# Members of a band that are compared with each other once its first and last do not tie all of them.
+SMALL = 16
+# Keys of a larger band's members by further places, and how often bands are dealt anew.
+FINER, LEVELS = 4, 4
 PART = 1 << 16
 
 
@@ -101,6 +104,22 @@ class Walk:
                 out.append(xxhash.xxh3_64_intdigest(bits[place].tobytes(), octave * BANDS + band + OCTAVES))
         return out
 
+    def finer(self, bits: np.ndarray, level: int) -> list[int]:
+        """Keys of further sampled bits, more of them at each level, over the octaves of bands()."""
+        top = int(self.octave[len(bits) - 1]) - 1 if len(bits) else 0
+        out = []
+        for octave in range(max(top - 1, 0), top + 1):
+            for sample in range(FINER):
+                place = self.finer_places(octave, level, sample)
+                place = place[place < len(bits)]
+                out.append(xxhash.xxh3_64_intdigest(bits[place].tobytes(), (octave * LEVELS + level) * FINER + sample))
+        return out
+
+    @lru_cache(maxsize=OCTAVES * LEVELS * FINER)
+    def finer_places(self, octave: int, level: int, sample: int) -> np.ndarray:
+        low, high = np.searchsorted(self.octave, (octave - 2, octave + 1))
+        rng = np.random.default_rng((SEED, octave, level, sample))
+        return np.sort(rng.choice(np.arange(low, high), min(2 + 2 * level, high - low), replace=False))
 
     @lru_cache(maxsize=OCTAVES)
     def band_places(self, octave: int) -> list[np.ndarray]:
@@ -138,41 +157,82 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return map_steps(docs.select("doc_id", raw_text().alias("text")), run, "doc_id bigint, fingerprint string")
 
 
-def near_duplicates(prints: DataFrame, least: float = LIKENESS) -> DataFrame:
+def alike(pairs: DataFrame, codes: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) of codes whose fingerprints have at least the given likeness."""
+    x = codes.select(F.col("code").alias("a"), F.col("fingerprint").cast("binary").alias("text"))
+    y = codes.select(F.col("code").alias("b"), F.col("fingerprint").alias("other"))
+
+    def judge(batch):
+        texts = zip(batch.column("text").to_pylist(), batch.column("other").to_pylist())
+        like = pa.array([walk().likeness(hidden(x.decode()), hidden(y)) >= least for x, y in texts], type=pa.bool_())
+        return {"a": batch.column("a").filter(like), "b": batch.column("b").filter(like)}
+
+    both = pairs.join(x, "a").join(y, "b").select("a", "b", "text", "other")
+    return saved(map_steps(both, judge, "a bigint, b bigint"), "alike-prints")
+
+
+def _grouped(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of (code, band): pairs of each member with its band's first and last, and the members of bands of three or more."""
+    shared = rows.groupBy("band").agg(F.count("*").alias("n"), F.min("code").alias("first"), F.max("code").alias("last"))
+    shared = saved(shared.filter("n > 1"), "shared-bands")
+    members = saved(rows.join(broadcast_if_small(shared), "band"), "band-members")
+    pairs = members.select("code", F.explode(F.array("first", "last")).alias("end")).filter("code <> end")
+    return pairs.select(F.least("code", "end").alias("a"), F.greatest("code", "end").alias("b")).distinct(), members.filter("n > 2")
+
+
+def near_duplicates(prints: DataFrame, least: float = LIKENESS, small: int = SMALL) -> DataFrame:
     """(fingerprint, first_id, class_id) for each distinct fingerprint of (doc_id, fingerprint).
 
-    Fingerprints that share a band are compared with the band's first and with
-    the one before them, so a band of n gives fewer than 2n pairs; classes are
-    connected by the pairs that prove alike. class_id is the smallest doc_id of
-    the class.
+    Fingerprints that share a band are compared with the band's first and last.
+    Where that leaves a band in several classes, members of different classes
+    are compared with each other if the band has few; a larger one is dealt by
+    keys of further sampled places, again and again, and the same is done there.
+    What is still large after the last time is compared with the first member of
+    every other class in its band. class_id is the smallest doc_id of the class.
     """
     codes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
     codes = saved(codes.withColumn("code", F.xxhash64("fingerprint")), "edit-codes")
-
-    def keys(batch):
-        each = [walk().bands(hidden(t.decode())) for t in batch.column("text").to_pylist()]
-        return {"code": batch.column("code"), "bands": [np.array(b, dtype=np.uint64).view(np.int64) for b in each]}
-
     raw = codes.select("code", F.col("fingerprint").cast("binary").alias("text"))
-    rows = map_steps(raw, keys, "code bigint, bands array<bigint>").select("code", F.explode("bands").alias("band"))
-    order = W.partitionBy("band").orderBy("code")
-    pairs = rows.withColumn("others", F.array(F.first("code").over(order), F.lag("code").over(order)))
-    pairs = pairs.select("code", F.explode("others").alias("other"))
-    pairs = pairs.filter("other is not null and other <> code").distinct()
-    a = codes.select("code", F.col("fingerprint").alias("a"))
-    b = codes.select(F.col("code").alias("other"), F.col("fingerprint").alias("b"))
 
-    def judge(batch):
-        like = [
-            walk().likeness(hidden(x.decode()), hidden(y))
-            for x, y in zip(batch.column("text").to_pylist(), batch.column("b").to_pylist())
-        ]
-        return {"src": batch.column("code"), "dst": batch.column("other"), "likeness": like}
-
-    both = pairs.join(a, "code").join(b, "other").select("code", "other", F.col("a").cast("binary").alias("text"), "b")
-    judged = map_steps(both, judge, "src bigint, dst bigint, likeness double").filter(F.col("likeness") >= least)
-    roots = connected(judged.select("src", "dst")).withColumnRenamed("node", "code")
-    label = codes.join(roots, "code", "left").withColumn("root", F.coalesce("root", "code"))
+    def keys(level: int):
+        def run(batch):
+            each = [hidden(t.decode()) for t in batch.column("text").to_pylist()]
+            each = [walk().finer(x, level) if level else walk().bands(x) for x in each]
+            return {"code": batch.column("code"), "bands": [np.array(b, dtype=np.uint64).view(np.int64) for b in each]}
+
+        return run
+
+    rows = map_steps(raw, keys(0), "code bigint, bands array<bigint>").select("code", F.explode("bands").alias("band"))
+    pairs, members = _grouped(rows.distinct())
+    tried, links = saved(pairs, "print-pairs"), None
+    found = alike(tried, codes, least)
+    for level in range(1, LEVELS + 2):
+        links = found if links is None else links.unionByName(found)
+        roots = saved(connected(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "print-roots")
+        label = members.join(roots.withColumnRenamed("node", "code"), "code", "left")
+        label = saved(label.select("band", "code", "n", F.coalesce("root", "code").alias("grp")), "labelled-bands")
+        apart = label.groupBy("band").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low <> high")
+        label = label.join(broadcast_if_small(saved(apart.select("band"), "broken-bands")), "band")
+        if not label.head(1):
+            break
+        last = level > LEVELS
+        few = label.filter(F.col("n") <= small) if not last else label
+        other = few.select("band", F.col("code").alias("b"), F.col("grp").alias("grp_b"))
+        if last:
+            other = other.groupBy("band", "grp_b").agg(F.min("b").alias("b"))
+        across = few.join(other, "band").filter(F.col("grp") != F.col("grp_b")).select(F.least("code", "b").alias("a"), F.greatest("code", "b").alias("b"))
+        if not last:
+            many = label.filter(F.col("n") > small)
+            more = map_steps(raw.join(many.select("code").distinct(), "code", "left_semi"), keys(level), "code bigint, bands array<bigint>")
+            more = more.select("code", F.explode("bands").alias("key")).join(many.select("code", "band"), "code")
+            pairs, members = _grouped(more.select("code", F.xxhash64("band", "key").alias("band")).distinct())
+            across = across.unionByName(pairs)
+        pairs = saved(across.distinct().join(tried, ["a", "b"], "left_anti"), "print-pairs")
+        tried = tried.unionByName(pairs)
+        found = alike(pairs, codes, least)
+        if last:
+            roots = saved(connected(links.unionByName(found).select(F.col("a").alias("src"), F.col("b").alias("dst"))), "print-roots")
+    label = codes.join(roots.withColumnRenamed("node", "code"), "code", "left").withColumn("root", F.coalesce("root", "code"))
     named = label.groupBy("root").agg(F.min("first_id").alias("class_id"))
     return label.join(named, "root").select("fingerprint", "first_id", "class_id")
 

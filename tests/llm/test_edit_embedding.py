@@ -105,6 +105,39 @@ def test_near_duplicates_by_bands(spark):
     assert ee.near_duplicates(prints.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("small", [2, 16])
+def test_interleaved_clusters_against_all_pairs(spark, small):
+    """Fingerprints that share bands but fall into many classes, as they alternate in them."""
+    rng, walk = random.Random(3), ee.walk()
+    size = int(np.searchsorted(walk.octave, 9))
+    prints = []
+    for _ in range(6):
+        base = np.array([rng.randrange(16) for _ in range(size)], dtype=np.uint8)
+        common = base.copy()
+        for _ in range(5):
+            # A cluster shares most of its last places with the others of its base.
+            start = common.copy()
+            for at in rng.sample(range(size), size // 4):
+                start[at] = rng.randrange(16)
+            for _ in range(6):
+                one = start.copy()
+                for at in rng.sample(range(size), rng.randint(0, size // 12)):
+                    one[at] = rng.randrange(16)
+                prints.append(one)
+    frame = spark.createDataFrame([(i, ee.shown(p)) for i, p in enumerate(prints)], "doc_id bigint, fingerprint string")
+    got = {r.fingerprint: r.class_id for r in ee.near_duplicates(frame, small=small).collect()}
+    root = list(range(len(prints)))
+    for i in range(len(prints)):
+        for j in range(i):
+            if walk.likeness(prints[i], prints[j]) >= ee.LIKENESS and root[i] != root[j]:
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    links = [(i, j) for i in range(len(prints)) for j in range(i) if walk.likeness(prints[i], prints[j]) >= ee.LIKENESS]
+    kept = [got[ee.shown(prints[i])] == got[ee.shown(prints[j])] for i, j in links]
+    assert len(set(root)) > 6 and np.mean(kept) >= 0.98
+    assert all(root[i] == root[got[ee.shown(p)]] for i, p in enumerate(prints))
+
+
 def test_nulls_repeats_and_extra_columns(spark):
     frame = clashing(docs(spark, None, "", "abcdefgh", "abcdefgh", "zzzzzzzz", "12345678", ids=[1, 2, 5, 5, None, 9]))
     rows = sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in ee.with_edited(frame).collect())
