@@ -556,7 +556,8 @@ def fil9(s: TableStore) -> DataFrame:
     """,
 )
 def fil11(s: TableStore) -> DataFrame:
-    return institutions.institution_search(s.table("choices"), "INSTITUTE", cfg=CFG).select("ueis")
+    tables = [s.table(n) for n in ("institutions", "institution_members", "institution_grams")]
+    return institutions.institution_search(*tables, "INSTITUTE", cfg=CFG).select("ueis")
 
 
 # -- classification and flags --------------------------------------------------
@@ -1057,7 +1058,8 @@ def ag11_sets(s: TableStore) -> DataFrame:
 
 @query("ag12_ordered_member_lists", "SELECT canonical_name, state_code, ueis FROM choices")
 def ag12(s: TableStore) -> DataFrame:
-    return s.table("choices").select("canonical_name", "state_code", "ueis")
+    members = s.table("institution_members")
+    return institutions.with_ueis(s.table("institutions"), members).select("canonical_name", "state_code", "ueis")
 
 
 @query(
@@ -1163,7 +1165,7 @@ def so4(s: TableStore) -> DataFrame:
 
 @query("so5_institution_states", "SELECT DISTINCT state_code FROM choices")
 def so5(s: TableStore) -> DataFrame:
-    return institutions.institution_states(s.table("choices"))
+    return institutions.institution_states(s.table("institutions"))
 
 
 # -- scalar functions ----------------------------------------------------------

@@ -396,14 +396,12 @@ SEARCH_SQL = """
     SEARCH_SQL.format(where="n_terminations > 0 AND contains(lower(label), 'college')"),
 )
 def d9(s: TableStore) -> DataFrame:
-    return institutions.institution_search(
-        s.table("choices"), "College", terminations_only=True, cfg=CFG
-    )
+    return institutions.institution_search(*_institutions(s), "College", terminations_only=True, cfg=CFG)
 
 
 @query("fil10_institutions_of_state", SEARCH_SQL.format(where="state_code = 'S7'"))
 def fil10(s: TableStore) -> DataFrame:
-    return institutions.institution_search(s.table("choices"), state="S7", cfg=CFG)
+    return institutions.institution_search(*_institutions(s), state="S7", cfg=CFG)
 
 
 @query("d10_institution_portfolio", "SELECT * FROM portfolio")
@@ -819,5 +817,9 @@ def x8(s: TableStore) -> DataFrame:
 # -- shared inputs -------------------------------------------------------------
 
 
+def _institutions(s: TableStore) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return s.table("institutions"), s.table("institution_members"), s.table("institution_grams")
+
+
 def _scope(s: TableStore) -> tuple[DataFrame, DataFrame, DataFrame]:
     return s.table("terminations"), s.table("awards"), s.table("recipients")

@@ -47,17 +47,15 @@ def institution_members(recipients: DataFrame, cfg: StudyConfig = DEFAULT_CONFIG
     ).filter(F.col("canonical_name") != "")
 
 
-def institution_choices(
+def institutions_with_awards(
     recipients: DataFrame,
     awards: DataFrame,
     terminations: DataFrame,
     cfg: StudyConfig = DEFAULT_CONFIG,
 ) -> DataFrame:
-    """Institutions with at least one award: names, members, terminations.
+    """(institution, recipient_uei, display_name, n_terms): the members that hold awards, as rows.
 
-    Awards are reduced to one row per recipient first. The member list is one
-    text per institution because that is the result asked for; institution_members
-    holds the same facts in rows.
+    Awards are reduced to one row per recipient first.
     """
     per_recipient = (
         awards.select("award_id_fain", "recipient_uei")
@@ -65,17 +63,82 @@ def institution_choices(
         .groupBy("recipient_uei")
         .agg(F.coalesce(F.sum("n_terms"), F.lit(0)).alias("n_terms"))
     )
-    return (
-        institution_members(recipients, cfg)
-        .join(per_recipient, "recipient_uei")
-        .groupBy(*INSTITUTION)
-        .agg(
-            F.min("display_name").alias("display_name"),
-            F.array_join(F.sort_array(F.collect_list("recipient_uei")), ",").alias("ueis"),
-            row_count().alias("n_variants"),
-            F.sum("n_terms").alias("n_terminations"),
-        )
+    return institution_members(recipients, cfg).join(per_recipient, "recipient_uei")
+
+
+def institution_list(members: DataFrame) -> DataFrame:
+    """One row of fixed width per institution of institutions_with_awards, with its label."""
+    listed = members.groupBy(*INSTITUTION).agg(
+        F.min("display_name").alias("display_name"),
+        row_count().alias("n_variants"),
+        F.sum("n_terms").alias("n_terminations"),
     )
+    label = institution_label(F.col("display_name"), F.col("state_code"), F.col("n_terminations"))
+    return listed.withColumn("label", label)
+
+
+def with_ueis(listed: DataFrame, members: DataFrame) -> DataFrame:
+    """Institutions with the ids of their members as one text each."""
+    ids = F.array_join(F.sort_array(F.collect_list("recipient_uei")), ",").alias("ueis")
+    mine = members.select(*INSTITUTION, "recipient_uei").join(listed.select(*INSTITUTION), INSTITUTION, "left_semi")
+    return listed.join(mine.groupBy(*INSTITUTION).agg(ids), INSTITUTION)
+
+
+def institution_choices(
+    recipients: DataFrame,
+    awards: DataFrame,
+    terminations: DataFrame,
+    cfg: StudyConfig = DEFAULT_CONFIG,
+) -> DataFrame:
+    """Institutions with at least one award: names, members, terminations.
+
+    The member list is one text per institution because that is the result asked
+    for. What is stored is institutions_with_awards, with a row per member.
+    """
+    members = institutions_with_awards(recipients, awards, terminations, cfg)
+    return members.groupBy(*INSTITUTION).agg(
+        F.min("display_name").alias("display_name"),
+        F.array_join(F.sort_array(F.collect_list("recipient_uei")), ",").alias("ueis"),
+        row_count().alias("n_variants"),
+        F.sum("n_terms").alias("n_terminations"),
+    )
+
+
+GRAM = 3
+
+
+def grams_of(text: str) -> list[str]:
+    """The distinct runs of GRAM characters of a lower-cased text, in order."""
+    low = text.lower()
+    return list(dict.fromkeys(low[i : i + GRAM] for i in range(len(low) - GRAM + 1)))
+
+
+def label_grams(listed: DataFrame) -> DataFrame:
+    """Postings of the institution list: each row once for every run of GRAM characters of its label."""
+    low = F.lower("label")
+    places = F.sequence(F.lit(1), F.char_length(low) - GRAM + 1)
+    grams = F.array_distinct(F.transform(places, lambda i: F.substring(low, i, GRAM)))
+    return listed.filter(F.char_length(low) >= GRAM).select(F.explode(grams).alias("gram"), *listed.columns)
+
+
+# Runs of the searched text whose postings are intersected; the label itself is checked for the rest.
+ASKED_GRAMS = 3
+
+
+def labels_with(listed: DataFrame, postings: DataFrame, text: str) -> DataFrame:
+    """The institutions whose label contains the text in any case.
+
+    Reads the postings of a few of the text's runs only; texts too short for a
+    run are looked for in the list.
+    """
+    contains = F.lower("label").contains(text.lower())
+    grams = grams_of(text)
+    if not grams:
+        return listed.filter(contains)
+    step = max(1, (len(grams) - 1) // (ASKED_GRAMS - 1))
+    some = list(dict.fromkeys([*grams[::step][: ASKED_GRAMS - 1], grams[-1]]))
+    found = postings.filter(F.col("gram").isin(some) & contains)
+    return found.groupBy(*listed.columns).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == len(some)).drop("_n")
 
 
 def institution_states(choices: DataFrame) -> DataFrame:
@@ -83,28 +146,28 @@ def institution_states(choices: DataFrame) -> DataFrame:
 
 
 def institution_search(
-    choices: DataFrame,
+    listed: DataFrame,
+    members: DataFrame,
+    postings: DataFrame,
     text: str = "",
     state: str | None = None,
     terminations_only: bool = False,
     cfg: StudyConfig = DEFAULT_CONFIG,
 ) -> DataFrame:
-    """Type-ahead: the first institutions whose label contains the text."""
-    found = choices
+    """Type-ahead: the first institutions whose label contains the text, in the order of their names.
+
+    listed, members and postings are institution_list, institutions_with_awards
+    and label_grams. Ids are put together for the hits alone.
+    """
+    found = labels_with(listed, postings, text)
     if state and state != "ALL":
         found = found.filter(F.col("state_code") == state)
     if terminations_only:
         found = found.filter(F.col("n_terminations") > 0)
-    label = institution_label(
-        F.col("display_name"), F.col("state_code"), F.col("n_terminations")
-    )
-    return (
-        found.select(label.alias("label"), "ueis", "display_name", *INSTITUTION)
-        .filter(F.lower("label").contains(text.lower()))
-        .orderBy("display_name", *INSTITUTION)
-        .limit(cfg.search_limit)
-        .select("label", "ueis")
-    )
+    hits = found.orderBy("display_name", *INSTITUTION).limit(cfg.search_limit)
+    return with_ueis(hits, F.broadcast(hits).select(*INSTITUTION).join(members, INSTITUTION)).orderBy(
+        "display_name", *INSTITUTION
+    ).select("label", "ueis")
 
 
 def valid_ueis(text: str) -> list[str]:
@@ -193,13 +256,31 @@ def institution_portfolio(
     )
 
 
+def of_institution(rows: DataFrame, name: str, state: str) -> DataFrame:
+    """One institution's rows of any of the results below."""
+    return rows.filter((F.col("canonical_name") == name) & (F.col("state_code") == state))
+
+
 def in_display_order(portfolio: DataFrame) -> DataFrame:
-    """Terminated, reinstated, active; larger awards first."""
+    """By institution: terminated, reinstated, active; larger awards first.
+
+    A sort of all rows given. What is shown is one institution's (of_institution).
+    """
     return portfolio.orderBy(
         *INSTITUTION, flags.status_rank(F.col("status")), F.desc_nulls_last("obligated"), "fain"
     )
 
 
+def largest_loss_first(terminations: DataFrame) -> DataFrame:
+    """Order of institution_terminations, for the rows of one institution."""
+    return terminations.orderBy(F.desc("deobligated_k"), "fain")
+
+
+def largest_amount_first(funding: DataFrame) -> DataFrame:
+    """Order of funding_by_directorate, for the rows of one institution."""
+    return funding.orderBy(F.desc_nulls_last("amt_m"), "dir")
+
+
 def is_terminated() -> Column:
     return F.col("status").isin("Terminated", "Reinstated")
 
@@ -280,21 +361,19 @@ def summary_text(summary: DataFrame) -> DataFrame:
 
 
 def funding_by_directorate(portfolio: DataFrame) -> DataFrame:
-    """Active funding in $M per institution and directorate."""
+    """Active funding in $M per institution and directorate, in no order: the reader sorts what it shows."""
     return (
         portfolio.filter(F.col("status").isin("Active", "Reinstated") & F.col("dir").isNotNull())
         .groupBy(*INSTITUTION, "dir")
         .agg(F.sum("obligated").alias("amount"), row_count().alias("n"))
         .select(*INSTITUTION, "dir", F.bround(millions(F.col("amount")), 2).alias("amt_m"), "n")
-        .orderBy(*INSTITUTION, F.desc_nulls_last("amt_m"))
     )
 
 
 def institution_terminations(portfolio: DataFrame) -> DataFrame:
-    """Terminated and reinstated awards with amounts in $K, largest loss first."""
+    """Terminated and reinstated awards with amounts in $K, in no order: the reader sorts what it shows."""
     return (
         portfolio.filter(is_terminated())
-        .orderBy(*INSTITUTION, F.desc("deobligated"), "fain")
         .select(
             *INSTITUTION,
             "fain",

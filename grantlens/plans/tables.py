@@ -72,11 +72,15 @@ def table_specs(
             counters={"matched": F.col("award_id_fain").isNotNull()},
         ),
         # Gold.
-        "choices": TableSpec(
-            lambda s: institutions.institution_choices(
+        "institution_members": TableSpec(
+            lambda s: institutions.institutions_with_awards(
                 s.table("recipients"), s.table("awards"), s.table("terminations"), cfg
             )
         ),
+        "institutions": TableSpec(lambda s: institutions.institution_list(s.table("institution_members"))),
+        "institution_grams": TableSpec(
+            lambda s: institutions.label_grams(s.table("institutions")), bucket_by="gram"
+        ),
         "portfolio": TableSpec(
             lambda s: institutions.institution_portfolio(
                 s.table("recipients"), s.table("awards"), s.table("terminations"), cfg

@@ -5,6 +5,7 @@ import dataclasses
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from grantlens.config import DEFAULT_CONFIG as CFG
 from grantlens.plans import baselines, changes, dashboard, institutions, silver, views
 from tests.helpers import (
@@ -12,6 +13,8 @@ from tests.helpers import (
     column,
     day,
     opportunities,
+    frame,
+    plan,
     recipients,
     records,
     terminations,
@@ -309,11 +312,36 @@ def test_names_merge_into_one_institution(spark):
         ("BAR UNIVERSITY", "?", "Bar University", "U3", 0),
         ("FOO COLLEGE", "TX", "Foo College", "U1,U2", 4),
     ]
-    assert column(institutions.institution_search(got, "foo"), "label") == [
-        "Foo College — TX (4 terminated)"
-    ]
-    assert column(institutions.institution_search(got, state="?"), "label") == ["Bar University — ?"]
-    assert column(institutions.institution_search(got, state="ALL", terminations_only=True), "ueis") == ["U1,U2"]
+    members = institutions.institutions_with_awards(people, held, cut)
+    listed = institutions.institution_list(members)
+    assert records(institutions.with_ueis(listed, members), *got.columns) == records(got, *got.columns)
+
+    def search(*args, **more):
+        return institutions.institution_search(listed, members, institutions.label_grams(listed), *args, **more)
+
+    assert column(search("foo"), "label") == ["Foo College — TX (4 terminated)"]
+    assert column(search(state="?"), "label") == ["Bar University — ?"]
+    assert column(search(state="ALL", terminations_only=True), "ueis") == ["U1,U2"]
+
+
+@pytest.mark.parametrize("text", ["", "a", "AR", "bar", "Universit", "y — t", "aaa", "aaaa", "bar University of", "100%", "o'", "x (1"])
+def test_label_index_finds_what_a_scan_finds(spark, text):
+    labels = ["Bar University — TX", "bar university of aaa — ?", "Baaab O'Neil — S1 (12 terminated)", "100% (1) x (1", "ab", "Unrelated — OK", "Universit bar — S2"]
+    rows = [{"canonical_name": str(k), "state_code": "S", "display_name": x, "label": x} for k, x in enumerate(labels)]
+    listed = frame(spark, "canonical_name string, state_code string, display_name string, n_variants long, n_terminations long, label string", rows)
+    got = institutions.labels_with(listed, institutions.label_grams(listed), text)
+    assert records(got, "label") == sorted(((x,) for x in labels if text.lower() in x.lower()), key=str)
+
+
+def test_search_reads_postings_of_a_few_grams(spark):
+    from grantlens.driver import registry
+
+    df = contract.queries()["d9_institution_search"](spark, "/root/testdata/sf0.001")
+    store = registry.store_for(spark, "/root/testdata/sf0.001")
+    # Runs of the text are looked for in the postings, whose files are dealt by run.
+    postings = next(line for line in plan(df).splitlines() if "FileScan" in line and "gram#" in line)
+    assert "gram#" in postings.split("DataFilters: ")[1] and "Bucketed" in postings
+    assert not any(f.startswith(store.path("institutions") + "/") for f in df.inputFiles())
 
 
 def test_portfolio_repeats_awards_per_termination(spark):
