@@ -36,10 +36,11 @@ from grantlens.plans import (
     institutions,
     keys,
     silver,
+    sql,
     tables,
     views,
 )
-from grantlens.sources import publish, readers, schemas, writers
+from grantlens.sources import profile, publish, readers, schemas, writers
 from grantlens.sources.store import TableSpec, TableStore
 
 # -- sources -------------------------------------------------------------------
@@ -121,6 +122,42 @@ def src3(s: TableStore) -> DataFrame:
     return rows.groupBy("cfda_number").agg(F.count("*").alias("n"))
 
 
+def _profile_sql(column: str, declared: str, found: str, value: str | None = None, code: bool = False, **shapes: str) -> str:
+    counts = ", ".join(f"{shapes.get(s, '0')} AS n_{s}" for s in profile.SHAPES)
+    return (
+        f"SELECT '{column}' AS column, count({value or column}) AS n_values, {counts}, '{found}' AS found, "
+        f"'{declared}' AS declared, {code} AS is_code, true AS fits FROM raw_usaspending"
+    )
+
+
+@query(
+    "src3_type_profile",
+    " UNION ALL ".join(
+        [
+            _profile_sql("cfda_number", "string", "string", code=True, decimal="count(cfda_number)").replace(
+                "0 AS n_code", "count(cfda_number) AS n_code"
+            ),
+            _profile_sql("action_date", "date", "date", day="count(action_date)"),
+            _profile_sql("federal_action_obligation", "double", "double", decimal="count(federal_action_obligation)"),
+            _profile_sql(
+                "recipient_zip_code", "string", "string", code=True, whole="count(recipient_zip_code)", decimal="count(recipient_zip_code)"
+            ).replace("0 AS n_code", "count(*) FILTER (recipient_zip_code LIKE '0%') AS n_code"),
+            _profile_sql("action_type_description", "string", "string"),
+        ]
+    ),
+)
+def src3_profile(s: TableStore) -> DataFrame:
+    """Two CSV folders profiled file by file in one pass each; codes are told from numbers."""
+    raw, names = s.table("raw_usaspending"), ["cfda_number", "action_date", "federal_action_obligation", "recipient_zip_code", "action_type_description"]
+    parts = []
+    for k, where in enumerate((OLDER, f"NOT {OLDER}")):
+        path = s.path(f"csv/profile{k}")
+        writers.write_csv(raw.filter(where).select(*names[:: 1 - 2 * k]), path)
+        text = s.spark.read.option("header", True).csv(path)
+        parts.append(profile.shape_counts(text, F.col("_metadata.file_name")))
+    return profile.with_types(profile.merged(*parts), schemas.USASPENDING)
+
+
 @query(
     "src4_parquet_scan",
     """
@@ -954,6 +991,21 @@ def snk4_years(s: TableStore) -> DataFrame:
     return s.spark.createDataFrame([(k, part) for k, parts in enumerate(read, 1) for part in parts], "refresh int, part string")
 
 
+@query(
+    "fn_sql_classification",
+    f"SELECT {directorate('cfda_number')} AS directorate, NULL AS topic, count(*) AS n FROM awards GROUP BY 1 "
+    f"UNION ALL SELECT NULL, {topic('project_title')}, count(*) FROM terminations GROUP BY 2",
+)
+def fn_sql(s: TableStore) -> DataFrame:
+    """The two maps as SQL functions."""
+    sql.register_functions(s.spark, s.table("portfolio"))
+    s.register_views(["awards", "terminations"], prefix="gl_")
+    return s.spark.sql(
+        "SELECT nsf_directorate(cfda_number) AS directorate, CAST(NULL AS STRING) AS topic, count(*) AS n FROM gl_awards GROUP BY 1 "
+        "UNION ALL SELECT CAST(NULL AS STRING), nsf_topic(project_title), count(*) FROM gl_terminations GROUP BY 2"
+    )
+
+
 @query(
     "ag5_filtered_counts",
     """

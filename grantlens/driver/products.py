@@ -17,7 +17,7 @@ from grantlens.driver.oracle import (
     topic,
 )
 from grantlens.driver.registry import CFG, query
-from grantlens.plans import baselines, bronze, changes, dashboard, institutions, silver, tables, views
+from grantlens.plans import baselines, bronze, changes, dashboard, institutions, silver, sql, tables, views
 from grantlens.sources.store import TableStore
 
 
@@ -432,6 +432,52 @@ def d10_listed(s: TableStore) -> DataFrame:
     return found.select("award_unique_key", "recipient_uei")
 
 
+MINE = "portfolio WHERE recipient_uei IN (" + ", ".join(f"'{u}'" for u in ASKED) + ")"
+
+
+def _asked(s: TableStore, function: str) -> DataFrame:
+    sql.register_functions(s.spark, s.table("portfolio"))
+    return s.spark.sql(f"SELECT * FROM {function}('{','.join(ASKED)}')")
+
+
+@query("d10_sql_awards", f"SELECT * FROM {MINE}")
+def d10_sql(s: TableStore) -> DataFrame:
+    """D-10 to D-14 of listed recipients, as table functions."""
+    return _asked(s, "institution_awards")
+
+
+@query(
+    "d11_sql_figures",
+    f"""
+    SELECT count(*) AS n_total, count(*) FILTER (status <> 'Terminated') AS n_active, count(*) FILTER (live_apr30) AS n_at_risk,
+           count(*) FILTER (status <> 'Active') AS n_term, count(*) FILTER (status = 'Reinstated') AS n_reinst,
+           {cents("sum(obligated) FILTER (status <> 'Terminated')")} AS active_funding, {cents('sum(deobligated)')} AS net_deob
+    FROM {MINE}
+    """,
+)
+def d11_sql(s: TableStore) -> DataFrame:
+    return _asked(s, "institution_figures")
+
+
+@query(
+    "d12_sql_funding",
+    f"""
+    SELECT dir, round_even({cents('sum(obligated)')} / 1e6, 2) AS amt_m, count(*) AS n
+    FROM {MINE} AND status IN ('Active', 'Reinstated') AND dir IS NOT NULL GROUP BY 1
+    """,
+)
+def d12_sql(s: TableStore) -> DataFrame:
+    return _asked(s, "institution_funding")
+
+
+@query(
+    "d14_sql_largest_loss",
+    f"SELECT program, obligated, fain FROM {MINE} AND status <> 'Active' AND obligated IS NOT NULL ORDER BY obligated DESC, fain, program LIMIT 1",
+)
+def d14_sql(s: TableStore) -> DataFrame:
+    return _asked(s, "institution_largest_loss")
+
+
 @query(
     "x3_change_log",
     """
