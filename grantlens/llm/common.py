@@ -47,13 +47,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(table: DataFrame, weight: str | None = None, limit: int = BROADCAST_ITEMS) -> DataFrame:
+def broadcast_if_small(table: DataFrame, *weights: str, limit: int = BROADCAST_ITEMS) -> DataFrame:
     """A stored table, marked for broadcast if it has at most `limit` rows.
 
-    weight names an array column whose elements count as rows. Beyond the limit
+    weights name array columns whose elements count as rows. Beyond the limit
     the table is joined as Spark chooses, by a shuffle.
     """
-    size = F.count("*") + (F.coalesce(F.sum(F.size(weight)), F.lit(0)) if weight else 0)
+    size = F.count("*")
+    for column in weights:
+        size = size + F.coalesce(F.sum(F.greatest(F.size(column), F.lit(0))), F.lit(0))
     return F.broadcast(table) if table.agg(size).first()[0] <= limit else table
 
 
