@@ -470,6 +470,19 @@ def d12_sql(s: TableStore) -> DataFrame:
     return _asked(s, "institution_funding")
 
 
+@query(
+    "d13_sql_losses",
+    f"""
+    SELECT fain, coalesce(project_title, '—') AS project, dir AS directorate, coalesce(division, '—') AS division, program, status,
+           round_even(obligated / 1000, 0) AS obligated_k, round_even(deobligated / 1000, 0) AS deobligated_k,
+           strftime(terminated_on, '%Y-%m-%d') AS terminated, coalesce(strftime(reinstated_on, '%Y-%m-%d'), '—') AS reinstated, abstract
+    FROM {MINE} AND status <> 'Active'
+    """,
+)
+def d13_sql(s: TableStore) -> DataFrame:
+    return _asked(s, "institution_losses")
+
+
 @query(
     "d14_sql_largest_loss",
     f"SELECT program, obligated, fain FROM {MINE} AND status <> 'Active' AND obligated IS NOT NULL ORDER BY obligated DESC, fain, program LIMIT 1",

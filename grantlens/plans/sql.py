@@ -20,6 +20,11 @@ def literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def dash(value: str) -> str:
+    """A long dash for missing text."""
+    return f"coalesce({value}, '—')"
+
+
 def scalar_functions() -> dict[str, str]:
     """Definitions of nsf_directorate(code) and nsf_topic(title)."""
     codes = " ".join(f"WHEN {literal(c)} THEN {literal(d)}" for c, d in CFDA_DIRECTORATES.items())
@@ -50,6 +55,13 @@ def table_functions(portfolio: DataFrame) -> dict[str, str]:
                    CAST(round(CAST(coalesce(sum(obligated) FILTER (WHERE status <> 'Terminated'), 0) AS DECIMAL(38,10)), 2) AS DOUBLE),
                    CAST(round(CAST(coalesce(sum(deobligated), 0) AS DECIMAL(38,10)), 2) AS DOUBLE)
             FROM {mine}""",
+        """institution_losses(ueis STRING) RETURNS TABLE (fain STRING, project STRING, directorate STRING, division STRING,
+            program STRING, status STRING, obligated_k DOUBLE, deobligated_k DOUBLE, terminated STRING, reinstated STRING,
+            abstract STRING)""": f"""
+            SELECT fain, {dash('project_title')}, dir, {dash('division')}, program, status, bround(obligated / 1000, 0),
+                   bround(deobligated / 1000, 0), date_format(terminated_on, 'yyyy-MM-dd'),
+                   {dash("date_format(reinstated_on, 'yyyy-MM-dd')")}, abstract
+            FROM {mine} AND status <> 'Active' ORDER BY deobligated DESC, fain""",
         "institution_largest_loss(ueis STRING) RETURNS TABLE (program STRING, obligated DOUBLE, fain STRING)": f"""
             SELECT program, obligated, fain FROM {mine} AND status <> 'Active' AND obligated IS NOT NULL
             ORDER BY obligated DESC, fain, program LIMIT 1""",

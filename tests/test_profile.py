@@ -11,6 +11,10 @@ from grantlens.plans import sql
 from grantlens.sources import profile
 from tests.helpers import frame, records
 
+PORTFOLIO = (
+    "recipient_uei string, status string, obligated double, deobligated double, dir string, live_apr30 boolean, program string, "
+    "fain string, project_title string, division string, terminated_on date, reinstated_on date, abstract string"
+)
 VALUES = {
     "a": ["1", "-20", None, " 3 "],
     "b": ["1.5", "2", "1e3", ".5"],
@@ -58,7 +62,7 @@ def test_sql_maps_equal_the_column_functions(spark):
     codes = [*CFDA_DIRECTORATES, "47.05", "x", "", None]
     titles = ["Climate teacher", "Quantum algorithms", "it's", None, "", *[p for _, p in TOPIC_RULES]]
     spark.createDataFrame([(c, None) for c in codes] + [(None, t) for t in titles], "c string, t string").createOrReplaceTempView("maps")
-    sql.register_functions(spark, spark.createDataFrame([], "recipient_uei string, status string, obligated double, deobligated double, dir string, live_apr30 boolean, program string, fain string"))
+    sql.register_functions(spark, spark.createDataFrame([], PORTFOLIO))
     got = spark.table("maps").select("*", directorate_of(F.col("c")).alias("d"), topic_of(F.col("t")).alias("p"), F.expr("nsf_directorate(c) AS d2"), F.expr("nsf_topic(t) AS p2"))
     assert got.filter("d <> d2 OR p <> p2").count() == 0 and got.count() == len(codes) + len(titles)
 
@@ -66,7 +70,7 @@ def test_sql_maps_equal_the_column_functions(spark):
 @pytest.mark.parametrize("asked, n", [("ABC123DEF456", 2), ("ABC123DEF456,", 2), ("ABC123DEF456,XYZ123DEF456", 3), ("ABC123DEF456,abc", 0), ("", 0), ("' OR 1=1", 0)])
 def test_table_functions_void_malformed_requests(spark, asked, n):
     rows = [("ABC123DEF456", "Active", 5.0), ("ABC123DEF456", "Terminated", 7.0), ("XYZ123DEF456", "Active", 1.0)]
-    portfolio = spark.createDataFrame([(u, s, o, 0.0, "BIO", True, "p", "f") for u, s, o in rows], "recipient_uei string, status string, obligated double, deobligated double, dir string, live_apr30 boolean, program string, fain string")
+    portfolio = spark.createDataFrame([(u, s, o, 0.0, "BIO", True, "p", "f", None, None, None, None, None) for u, s, o in rows], PORTFOLIO)
     sql.register_functions(spark, portfolio)
     assert spark.sql("SELECT * FROM institution_awards(:asked)", args={"asked": asked}).count() == n
     figures = spark.sql("SELECT * FROM institution_figures(:asked)", args={"asked": asked}).first()
