@@ -39,10 +39,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_WRITTEN: list[str] = []
+
+
+def written() -> list[str]:
+    """Folders of the tables that this driver has stored so far, for the caller to remove once results are safe."""
+    return list(_WRITTEN)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """The frame written to the shared folder and read back: its lineage ends there."""
+    """The frame written to the shared folder and read back: its lineage ends there.
+
+    The table stays until its owner removes it (written()): frames built on it
+    are evaluated later.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

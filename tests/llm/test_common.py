@@ -27,3 +27,16 @@ def test_a_folder_of_one_machine_is_no_shared_folder(spark):
     for folder in ("file:/x/w", "/x/w"):
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             common.shared_folder(Session(folder, "local-cluster[2,1,1024]"))
+
+
+def test_stored_tables_are_listed(spark):
+    before = len(common.written())
+    assert common.saved(spark.range(3), "three").count() == 3
+    (path,) = common.written()[before:]
+    assert path.startswith(common.shared_folder(spark)) and spark.read.parquet(path).count() == 3
+
+
+def test_broadcast_counts_rows_and_list_elements(spark):
+    table = common.saved(spark.sql("SELECT 1 AS k, array(1, 2, 3) AS x, CAST(NULL AS array<int>) AS y"), "lists")
+    hinted = lambda *a, limit: "broadcast" in common.broadcast_if_small(table, *a, limit=limit)._jdf.queryExecution().logical().toString()
+    assert hinted(limit=1) and not hinted("x", "y", limit=3) and hinted("x", "y", limit=4) and not hinted(limit=0)
