@@ -363,4 +363,9 @@ def with_edited(docs: DataFrame) -> DataFrame:
 
 
 def op2_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_edited(load(spark, sf_dir, "documents"))
+    """with_edited, and the class of each document: the smallest doc_id that verified likenesses lead to."""
+    found = saved(with_edited(load(spark, sf_dir, "documents")), "edited-prints")
+    classes = near_duplicates(found.select("doc_id", "fingerprint"))
+    named = classes.select(F.xxhash64("fingerprint").alias("code"), "class_id")
+    rows = found.withColumn("code", F.xxhash64("fingerprint"))
+    return rows.join(named, "code").drop("code")

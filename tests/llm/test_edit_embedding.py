@@ -148,3 +148,19 @@ def test_nulls_repeats_and_extra_columns(spark):
     ]
     assert ee.with_edited(frame.limit(0)).count() == 0
     assert ee.with_edited(docs(spark, "abcdefgh")).first().edited_sha256 == sha("abcdefab")
+
+
+def test_query_names_the_class_of_each_document(spark):
+    rows = ee.op2_edit_embedding(spark, SF).collect()
+    want = table("documents")
+    assert sorted(r.doc_id for r in rows) == sorted(want.doc_id)
+    prints = {r.doc_id: ee.hidden(r.fingerprint) for r in rows}
+    got = {r.doc_id: r.class_id for r in rows}
+    like = {(a, b) for a in prints for b in prints if a < b and ee.walk().likeness(prints[a], prints[b]) >= ee.LIKENESS}
+    kept = [got[a] == got[b] for a, b in like]
+    assert len(like) > 5 and np.mean(kept) >= 0.95
+    root = {a: a for a in prints}
+    for a, b in like:
+        x, y = sorted((root[a], root[b]))
+        root = {k: x if r == y else r for k, r in root.items()}
+    assert all(root[a] == root[c] for a, c in got.items())
