@@ -123,7 +123,7 @@ def src3(s: TableStore) -> DataFrame:
 
 
 def _profile_sql(column: str, declared: str, found: str, value: str | None = None, code: bool = False, **shapes: str) -> str:
-    counts = ", ".join(f"{shapes.get(s, '0')} AS n_{s}" for s in profile.SHAPES)
+    counts = ", ".join(f"{shapes.get(s, '0::BIGINT')} AS n_{s}" for s in profile.SHAPES)
     return (
         f"SELECT '{column}' AS column, count({value or column}) AS n_values, {counts}, '{found}' AS found, "
         f"'{declared}' AS declared, {code} AS is_code, true AS fits FROM raw_usaspending"
@@ -135,13 +135,13 @@ def _profile_sql(column: str, declared: str, found: str, value: str | None = Non
     " UNION ALL ".join(
         [
             _profile_sql("cfda_number", "string", "string", code=True, decimal="count(cfda_number)").replace(
-                "0 AS n_code", "count(cfda_number) AS n_code"
+                "0::BIGINT AS n_code", "count(cfda_number) AS n_code"
             ),
             _profile_sql("action_date", "date", "date", day="count(action_date)"),
             _profile_sql("federal_action_obligation", "double", "double", decimal="count(federal_action_obligation)"),
             _profile_sql(
                 "recipient_zip_code", "string", "string", code=True, whole="count(recipient_zip_code)", decimal="count(recipient_zip_code)"
-            ).replace("0 AS n_code", "count(*) FILTER (recipient_zip_code LIKE '0%') AS n_code"),
+            ).replace("0::BIGINT AS n_code", "count(*) FILTER (recipient_zip_code LIKE '0%') AS n_code"),
             _profile_sql("action_type_description", "string", "string"),
         ]
     ),

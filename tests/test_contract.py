@@ -54,7 +54,8 @@ def test_scans_read_only_the_columns_they_need(spark):
     text = plan(contract.queries()["v9_monthly_obligations"](spark, SF))
     schema = text.split("ReadSchema: ")[1].splitlines()[0]
     assert "transaction_description" not in schema
-    assert "federal_action_obligation" in schema
+    # Long schemas are cut off in plans.
+    assert "n_actions" in schema and "federal_action_o" in schema
 
 
 @pytest.mark.parametrize(

@@ -59,6 +59,7 @@ def test_load_from_csv(spark, tmp_path):
         "opportunities": 1,
         "awards": 2,
         "transactions": 2,
+        "monthly_cube": 2,
         "terminations": 2,
     }
     monthly = views.monthly_obligations(store.table("transactions"))
