@@ -239,15 +239,14 @@ def award_states(usaspending: DataFrame, clustered: bool = False) -> DataFrame:
     rows = usaspending.filter(
         F.col(AWARD_KEY).isNotNull() & flags.has_key(F.col("recipient_uei"))
     ).withColumnRenamed(AWARD_KEY, "award_unique_key")
-    # Numbers and dates are reduced by hash within the few combinations of text
-    # attributes that an award has; only these are then sorted for their minima.
     described = rows.withColumnRenamed("transaction_description", "description")
-    texts = [*AWARD_TEXTS, "description"] if clustered else AWARD_TEXTS
-    combined = described.groupBy("award_unique_key", *texts).agg(
-        *[F.min(c).alias(n) for n, c in AWARD_LEAST.items()], *[F.max(c).alias(n) for n, c in AWARD_MOST.items()]
-    )
+    ends = [*[F.min(c).alias(n) for n, c in AWARD_LEAST.items()], *[F.max(c).alias(n) for n, c in AWARD_MOST.items()]]
     if clustered:
-        return merged_states(combined)
+        # The rows of a bucket are in order already, so one pass over them takes everything.
+        return described.groupBy("award_unique_key").agg(*[F.min(c).alias(c) for c in [*AWARD_TEXTS, "description"]], *ends)
+    # Numbers and dates are reduced by hash within the few combinations of text
+    # attributes that an award has; only these are then sorted for their minima.
+    combined = described.groupBy("award_unique_key", *AWARD_TEXTS).agg(*ends)
     # The widest column goes its own way, reduced to one value per award ahead of its only shuffle.
     least = described.groupBy("award_unique_key").agg(F.min("description").alias("description"))
     return merged_states(combined.withColumn("description", F.lit(None).cast("string"))).drop("description").join(
