@@ -41,7 +41,9 @@ def table_functions(portfolio: DataFrame) -> dict[str, str]:
     One malformed id voids the request, as everywhere.
     """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in portfolio.schema.fields)
-    valid = f"forall({ASKED}, u -> u RLIKE {literal('^(' + UEI_SHAPE + ')$')})"
+    # One pattern for the whole request: a lambda over its ids would be evaluated for every row of the portfolio.
+    one = f"(?:{UEI_SHAPE.strip('^$')})"
+    valid = f"regexp_replace(ueis, ',$', '') RLIKE {literal(f'^{one}(?:,{one})*$')}"
     mine = f"{PORTFOLIO} WHERE {valid} AND array_contains({ASKED}, recipient_uei)"
     return {
         f"institution_awards(ueis STRING) RETURNS TABLE ({columns})": f"SELECT * FROM {mine}",

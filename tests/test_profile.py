@@ -75,3 +75,12 @@ def test_table_functions_void_malformed_requests(spark, asked, n):
     assert spark.sql("SELECT * FROM institution_awards(:asked)", args={"asked": asked}).count() == n
     figures = spark.sql("SELECT * FROM institution_figures(:asked)", args={"asked": asked}).first()
     assert figures.n_total == n and "PythonUDF" not in spark.sql("SELECT * FROM institution_funding('')")._jdf.queryExecution().toString()
+
+
+def test_a_request_is_read_once_and_not_for_every_row(spark):
+    row = ("ABC123DEF456", "Active", 5.0, 0.0, "BIO", True, "p", "f", None, None, None, None, None)
+    sql.register_functions(spark, spark.createDataFrame([row], PORTFOLIO))
+    for name in ("awards", "funding", "figures", "losses", "largest_loss"):
+        asked = spark.sql(f"SELECT * FROM institution_{name}('U00000000001,U00000000002,')")
+        planned = asked._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert not any(f in planned for f in ("forall", "split", "rlike", "regexp_replace"))
