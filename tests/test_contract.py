@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
-from grantlens.driver import registry
+from grantlens.driver import adapter, registry
 from grantlens.operators import joins
 from grantlens.plans import silver
 from tests.helpers import plan, records
@@ -112,3 +112,14 @@ def test_registered_pipeline_and_operators_are_optional():
 
 def test_entry_runs(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_lines_of_the_feed_are_shuffled_once(spark):
+    """Customers join the orders, not the many more lines, where they are too large to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(adapter.usaspending(spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins_from_top = [part[:12] for part in text.split("SortMergeJoin [")[1:]]
+    assert len(joins_from_top) == 2 and joins_from_top[0].startswith("l_orderkey")
