@@ -66,6 +66,8 @@ def table_specs(
             lambda s: silver.with_fiscal_year(transactions_of(s, cfg)),
             partition_by="fiscal_year",
             sort_by=("action_date",),
+            # One file per bucket and year: moving all rows once more would cost most of what this table's job shuffles.
+            rebalance=False,
         ),
         "terminations": TableSpec(
             lambda s: silver.terminations(s.table("tracker"), s.table("awards")),
@@ -88,7 +90,9 @@ def table_specs(
         ),
         "termination_totals": TableSpec(lambda s: dashboard.termination_totals(*scope(s), cfg)),
         "monthly_cube": TableSpec(
-            lambda s: silver.with_fiscal_year(cube.monthly_cube(s.table("transactions"))), partition_by="fiscal_year"
+            lambda s: silver.with_fiscal_year(cube.monthly_cube(s.table("transactions"))),
+            partition_by="fiscal_year",
+            rebalance=False,
         ),
         # Distinct awards and recipients of each month and listing, as sets that can be united.
         "award_ids": TableSpec(lambda s: distinct.dense_ids(s.table("awards"), "award_unique_key")),

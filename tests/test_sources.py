@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grantlens.plans import bronze, silver
+from grantlens.plans.tables import table_specs
 from grantlens.sources import readers, schemas, writers
 from grantlens.sources.store import TableSpec, TableStore, shared_folder
 from tests.helpers import column, day, frame, records
@@ -153,6 +154,30 @@ def test_append_reload_and_partition_reload(spark, tmp_path):
     assert spark.read.parquet(path).count() == 6
 
 
+def test_rows_that_stay_where_they_are_are_written_in_small_tasks(spark, tmp_path, monkeypatch):
+    """Such tasks sort whole rows by folder, so their size bounds that sort."""
+    monkeypatch.setattr(writers, "TASK_BYTES", "16k")
+    keyed = spark.range(50_000).groupBy("id").count().withColumn("y", F.lit(2024))
+    seen = writers.write_parquet(keyed, f"file:{tmp_path}/t", partition_by="y", rebalance=False)
+    assert seen["rows"] == 50_000
+    assert len(list((tmp_path / "t" / "y=2024").glob("*.parquet"))) == 8
+    assert spark.conf.get(writers.ADVISORY, None) is None
+
+
+def test_partitions_are_replaced_where_their_rows_are(spark, tmp_path):
+    path = f"file:{tmp_path}/t"
+    df = spark.range(0, 100, numPartitions=4).withColumn("y", F.lit(2024))
+    writers.replace_partitions(df, path, "y", rebalance=False)
+    writers.replace_partitions(df.filter("id < 60"), path, "y", rebalance=False)
+    assert spark.read.parquet(path).count() == 60
+    assert len(list((tmp_path / "t" / "y=2024").glob("*.parquet"))) == 3
+
+
+def test_transactions_and_their_cube_are_written_without_a_further_shuffle():
+    specs = table_specs(*[lambda _: None] * 3)
+    assert not any(specs[n].rebalance for n in ("usaspending", "transactions", "monthly_cube"))
+
+
 def test_parquet_is_zstd(spark, tmp_path):
     writers.write_parquet(frame(spark, "k int", [{"k": 1}]), f"file:{tmp_path}/t")
     assert [p for p in tmp_path.glob("t/*.zstd.parquet")]
