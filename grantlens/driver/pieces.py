@@ -957,9 +957,10 @@ def _yearly(s: TableStore, name: str, build: Callable[[DataFrame], DataFrame]) -
     rows, source = s.table("usaspending"), s.path(f"increments/{name}/feed")
     states = increments.PartitionStates(s.spark, s.path(f"increments/{name}"), build)
     late = F.coalesce(F.col("fiscal_year") >= 2025, F.lit(False))
-    writers.write_parquet(rows.filter(~late), source, "fiscal_year")
+    # The stored feed has a folder per year already, so its rows stay where they are.
+    writers.write_parquet(rows.filter(~late), source, "fiscal_year", rebalance=False)
     read = [states.refresh(source)]
-    writers.replace_partitions(rows.filter(late), source, "fiscal_year")
+    writers.replace_partitions(rows.filter(late), source, "fiscal_year", rebalance=False)
     return states, [*read, states.refresh(source), states.refresh(source)]
 
 
