@@ -25,13 +25,18 @@ def monthly_sets(transactions: DataFrame, ids: DataFrame, by: str, key: str) ->
     """(month, by, bucket, members): the key's values of each month and group as bitmaps.
 
     Repetitions within a month are reduced before the ids are looked up. NULL
-    groups and undated rows have sets of their own.
+    groups and undated rows have sets of their own. Numbers are moved, not
+    bitmaps: a bitmap begun in every task, however few its numbers, would make
+    their bytes grow with the square of the rows. All months of a group and
+    bucket meet in a task, which holds 32,768 numbers of each at most.
     """
     month = flags.month_of(F.col("action_date")).alias("month")
     once = transactions.filter(F.col(key).isNotNull()).select(month, by, key).distinct().join(ids, key)
-    return once.groupBy("month", by, F.bitmap_bucket_number("id").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("members")
+    places = once.select(
+        "month", by, F.bitmap_bucket_number("id").alias("bucket"), F.bitmap_bit_position("id").alias("place")
     )
+    met = places.repartition(by, "bucket")
+    return met.groupBy("month", by, "bucket").agg(F.bitmap_construct_agg("place").alias("members"))
 
 
 def distinct_in(

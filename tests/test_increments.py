@@ -221,3 +221,14 @@ def test_sets_of_any_months(spark, key):
         assert records(distinct.distinct_in(sets, "cfda_number", "n", window), "cfda_number", "n") == records(want, "cfda_number", "n")
     with pytest.raises(ValueError, match="by month"):
         distinct.distinct_in(sets, "cfda_number", "n", (day("2023-01-01"), day("2023-01-05")))
+
+
+def test_sets_are_built_where_their_numbers_meet(spark):
+    """No bitmap is moved: each is begun and ended in one task."""
+    rows = [{"cfda_number": "a", "award_unique_key": f"k{i % 7}", "action_date": day("2025-01-05")} for i in range(20)]
+    transactions = frame(spark, "cfda_number string, award_unique_key string, action_date date", rows)
+    sets = distinct.monthly_sets(transactions, distinct.dense_ids(transactions, "award_unique_key"), "cfda_number", "award_unique_key")
+    plan = sets._jdf.queryExecution().executedPlan().toString().splitlines()
+    ends, begins = (next(i for i, line in enumerate(plan) if name in line) for name in ("[bitmap_construct_agg", "partial_bitmap_construct_agg"))
+    assert ends < begins and not any("Exchange" in line for line in plan[ends:begins])
+    assert distinct.distinct_in(sets, "cfda_number", "n").first().n == 7
