@@ -40,3 +40,15 @@ def test_broadcast_counts_rows_and_list_elements(spark):
     table = common.saved(spark.sql("SELECT 1 AS k, array(1, 2, 3) AS x, CAST(NULL AS array<int>) AS y"), "lists")
     hinted = lambda *a, limit: "broadcast" in common.broadcast_if_small(table, *a, limit=limit)._jdf.queryExecution().logical().toString()
     assert hinted(limit=1) and not hinted("x", "y", limit=3) and hinted("x", "y", limit=4) and not hinted(limit=0)
+
+
+def test_questions_of_all_groups_are_asked_at_once():
+    def steps(n):
+        said = []
+        for k in range(n):
+            said.append((yield 10 * n + k))
+        return said
+
+    asked = []
+    got = common.answered([steps(2), steps(0), steps(3)], lambda q: asked.append(q) or [-v for v in q])
+    assert got == [[-20, -21], [], [-30, -31, -32]] and asked == [[20, 30], [21, 31], [32]]
