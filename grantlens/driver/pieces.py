@@ -61,12 +61,13 @@ def src1(s: TableStore) -> DataFrame:
     """Two CSV groups: the newer one has its columns reversed and lacks one.
 
     CSV cannot tell an empty text from a missing one; both are read as NULL.
+    The feed as plain text would be several times as large as all tables; each task writes files of its own, so they stay small.
     """
     raw = s.table("raw_usaspending")
     older, newer = s.path("csv/fy_older"), s.path("csv/fy_newer")
-    writers.write_csv(raw.filter(OLDER), older)
+    writers.write_csv(raw.filter(OLDER), older, compression="gzip")
     drifted = raw.filter(f"NOT {OLDER}").drop("recipient_county_name")
-    writers.write_csv(drifted.select(*reversed(drifted.columns)), newer)
+    writers.write_csv(drifted.select(*reversed(drifted.columns)), newer, compression="gzip")
     return readers.read_csv_groups(s.spark, [older, newer], schemas.USASPENDING, False).rows
 
 

@@ -136,6 +136,20 @@ def test_csv_round_trip_keeps_quotes_and_line_breaks(spark, tmp_path):
     assert records(back, *back.columns) == records(df, *df.columns)
 
 
+def test_compressed_csv_holds_the_same_rows(spark, tmp_path):
+    rows = [{"grant_id": f"F{i}", "abstract": 'a "b", c ' * 9, "project_title": None if i % 3 else ""} for i in range(900)]
+    df = frame(spark, schemas.TERMINATIONS, rows).repartition(3)
+    backs, sizes = [], []
+    for k, compression in enumerate(("none", "gzip")):
+        writers.write_csv(df, f"file:{tmp_path}/{k}", compression=compression)
+        scan = readers.read_csv_checked(spark, f"file:{tmp_path}/{k}", schemas.TERMINATIONS, multi_line=False)
+        backs.append(sorted(records(scan.rows, "grant_id", "abstract", "project_title")))
+        files = [f for f in (tmp_path / str(k)).iterdir() if f.name.startswith("part-")]
+        sizes.append(sum(f.stat().st_size for f in files))
+        assert len(files) == 3 and scan.quarantine.count() == 0
+    assert backs[0] == backs[1] and len(backs[0]) == 900 and sizes[1] < sizes[0] / 5
+
+
 def test_codes_stay_text(spark, tmp_path):
     path = write(tmp_path / "c", "cfda_number,action_date\n47.050,2025-01-01\n")
     rows = bronze.scan_usaspending(spark, [path]).rows
